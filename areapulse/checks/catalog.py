@@ -4,7 +4,7 @@ import importlib
 
 from areapulse.checks.registry import QUERIES, SQL
 
-MODULES = ["rollup_checks", "tool_checks"]
+MODULES = ["rollup_checks", "tool_checks", "ingest_checks"]
 
 for _module in MODULES:
     importlib.import_module(f"areapulse.checks.{_module}")

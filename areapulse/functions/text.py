@@ -80,14 +80,13 @@ def first_non_empty(columns: list[str]) -> Column:
 def parse_date(text: Column) -> Column:
     """``YYYYMM``, ``YYYY-MM``, ``YYYY-MM-DD`` (time allowed) or ``YYYYMMDD`` to a date."""
     t = F.trim(text.cast("string"))
-    return F.coalesce(
-        F.when(t.rlike(r"^\d{6}$"), F.try_to_date(F.concat(t, F.lit("01")), "yyyyMMdd")),
-        F.when(t.rlike(r"^\d{4}-\d{2}$"), F.try_to_date(F.concat(t, F.lit("-01")), "yyyy-MM-dd")),
-        F.when(t.rlike(r"^\d{8}$"), F.try_to_date(t, "yyyyMMdd")),
-        F.when(
-            t.rlike(r"^\d{4}-\d{2}-\d{2}([T ].*)?$"),
-            F.try_to_date(F.substring(t, 1, 10), "yyyy-MM-dd"),
-        ),
+    n = F.length(t)
+    has_time = (n > 10) & F.substring(t, 11, 1).isin("T", " ")
+    return (
+        F.when(n == 6, F.try_to_date(F.concat(t, F.lit("01")), "yyyyMMdd"))
+        .when(n == 7, F.try_to_date(F.concat(t, F.lit("-01")), "yyyy-MM-dd"))
+        .when(n == 8, F.try_to_date(t, "yyyyMMdd"))
+        .when((n == 10) | has_time, F.try_to_date(F.substring(t, 1, 10), "yyyy-MM-dd"))
     )
 
 
@@ -105,20 +104,27 @@ def _digits(text: Column) -> Column:
     return F.trim(plain)
 
 
+def _given(text: Column) -> Column:
+    digits = _digits(text)
+    return F.when(~digits.isin("", "nan"), digits)
+
+
 def day_or_month(day: Column, month: Column | None = None) -> Column:
     """An 8-digit day as ISO date, else a 6-digit month as its first day, else ''.
 
     Text that is present but malformed is passed through, as a marker that the
     row has no usable time.
     """
-    d = _digits(day)
-    iso_day = F.when(d.rlike(r"^\d{8}$"), F.regexp_replace(d, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")).otherwise(d)
-    choices = [F.when(~iso_day.isin("", "nan"), iso_day)]
-    if month is not None:
-        m = _digits(month)
-        iso_month = F.when(m.rlike(r"^\d{6}$"), F.regexp_replace(m, r"^(\d{4})(\d{2})$", "$1-$2-01")).otherwise(m)
-        choices.append(F.when(~iso_month.isin("", "nan"), iso_month))
-    return F.coalesce(*choices, F.lit(""))
+    iso_day = F.regexp_replace(_given(day), r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
+    if month is None:
+        return F.coalesce(iso_day, F.lit(""))
+    iso_month = F.regexp_replace(_given(month), r"^(\d{4})(\d{2})$", "$1-$2-01")
+    return F.coalesce(iso_day, iso_month, F.lit(""))
+
+
+def day_or_month_text(day: Column, month: Column | None = None) -> Column:
+    """The text :func:`day_or_month` formats, which :func:`parse_date` reads as it is."""
+    return _given(day) if month is None else F.coalesce(_given(day), _given(month))
 
 
 def coord_label_parts(label: Column) -> Column:
