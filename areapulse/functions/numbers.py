@@ -53,3 +53,8 @@ def slope(y: Column, x: Column) -> Column:
 
 def drop_nan(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
+
+
+def fixed_point(value: Column, places: int) -> Column:
+    """Plain decimal text; ties are judged on the exact value and go to the even digit."""
+    return F.call_function("format_number", value, F.lit("0." + "0" * places))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from areapulse.functions.numbers import parse_number
+from areapulse.functions.numbers import fixed_point, parse_number
 
 # Texts that mean "no value" in the raw files.
 EMPTY_TEXTS = ["", "nan", "None"]
@@ -137,8 +137,8 @@ def coord_label_parts(label: Column) -> Column:
 
 
 def coord_label(code: Column, lon: Column, lat: Column) -> Column:
-    """``"%.5f,%.5f (code)"`` where coordinates exist, else the code."""
-    text = F.when(lat.isNotNull() & lon.isNotNull(), F.format_string("%.5f,%.5f", lat, lon))
+    """``lat,lon (code)`` with five decimals where coordinates exist, else the code."""
+    text = F.when(lat.isNotNull() & lon.isNotNull(), F.concat(fixed_point(lat, 5), F.lit(","), fixed_point(lon, 5)))
     has_code = F.coalesce(code, F.lit("")) != ""
     return (
         F.when(text.isNotNull() & has_code, F.concat(text, F.lit(" ("), code, F.lit(")")))

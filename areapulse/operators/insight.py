@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from areapulse.functions.numbers import correlation, ratio
+from areapulse.functions.numbers import correlation, fixed_point, ratio
 from areapulse.operators.records import fuse, normalise, source_label
 from areapulse.operators.series import domain_metrics, trend
 
@@ -115,8 +115,7 @@ def highlights(metrics: DataFrame) -> DataFrame:
 
 
 def two_places(value: Column) -> Column:
-    """Two decimals with ties to the even digit, as fixed-point text is usually rounded."""
-    return F.format_string("%.2f", F.bround(value, 2))
+    return fixed_point(value, 2)
 
 
 def narrative() -> Column:
