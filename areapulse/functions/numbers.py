@@ -6,16 +6,17 @@ from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
+NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,2})?$"
+
 
 def parse_number(text: Column) -> Column:
     """Text to double; NULL for anything that is not a finite number.
 
-    The JVM parser also accepts the literals ``1d`` and ``1f``; those are text.
+    The form is checked before the cast: a failing cast raises and catches an
+    exception per value, and it would let through ``NaN``, ``inf`` and ``1d``.
     """
-    value = F.trim(text.cast("string")).try_cast("double")
-    suffix = F.lower(F.right(F.trim(text.cast("string")), F.lit(1)))
-    finite = ~F.isnan(value) & ~suffix.isin("d", "f", "y")
-    return F.when(finite, value)
+    t = F.trim(text.cast("string"))
+    return F.when(t.rlike(NUMBER), t.try_cast("double"))
 
 
 def to_number(text: Column) -> Column:

@@ -79,15 +79,11 @@ def first_non_empty(columns: list[str]) -> Column:
 
 def parse_date(text: Column) -> Column:
     """``YYYYMM``, ``YYYY-MM``, ``YYYY-MM-DD`` (time allowed) or ``YYYYMMDD`` to a date."""
+    # Each step refers to its input once, so a long input expression is not repeated.
     t = F.trim(text.cast("string"))
-    n = F.length(t)
-    has_time = (n > 10) & F.substring(t, 11, 1).isin("T", " ")
-    return (
-        F.when(n == 6, F.try_to_date(F.concat(t, F.lit("01")), "yyyyMMdd"))
-        .when(n == 7, F.try_to_date(F.concat(t, F.lit("-01")), "yyyy-MM-dd"))
-        .when(n == 8, F.try_to_date(t, "yyyyMMdd"))
-        .when((n == 10) | has_time, F.try_to_date(F.substring(t, 1, 10), "yyyy-MM-dd"))
-    )
+    day = F.regexp_replace(t, r"^(\d{4})-?(\d{2})$", "$1-$2-01")
+    dashed = F.regexp_replace(day, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
+    return F.regexp_extract(dashed, r"^(\d{4}-\d{2}-\d{2})(?:[T ].*)?$", 1).try_cast("date")
 
 
 def month_start(date: Column) -> Column:

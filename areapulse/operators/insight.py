@@ -18,21 +18,45 @@ def impact_class(score: Column) -> Column:
     return F.when(score >= 0.2, "high").when(score >= 0.05, "moderate").when(score.isNotNull(), "low")
 
 
-def impact(metrics: DataFrame) -> DataFrame:
-    """Mean uplift per bucket, its class, and the score of buckets with two domains or more."""
-    return metrics.groupBy(*BUCKET).agg(
-        F.avg("uplift").alias("impact_score"), F.count("uplift").alias("impact_sources")
-    ).withColumns({
+def _impact_columns() -> list[Column]:
+    return [F.avg("uplift").alias("impact_score"), F.count("uplift").alias("impact_sources")]
+
+
+def _with_impact_class(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({
         "classification": impact_class(F.col("impact_score")),
         "cross_domain_score": F.when(F.col("impact_sources") >= 2, F.col("impact_score")),
     })
 
 
+def impact(metrics: DataFrame) -> DataFrame:
+    """Mean uplift per bucket, its class, and the score of buckets with two domains or more."""
+    return _with_impact_class(metrics.groupBy(*BUCKET).agg(*_impact_columns()))
+
+
 def correlation_strength(value: Column) -> Column:
     size = F.abs(value)
     return F.when(size >= 0.75, "strong").when(size >= 0.4, "moderate").when(value.isNotNull(), "weak")
 
 
+def with_correlation(buckets: DataFrame) -> DataFrame:
+    """Correlation of foot traffic and sales over all buckets of a place, on each of them.
+
+    A place has one bucket per time, so the window is bounded by the calendar.
+    """
+    whole = Window.partitionBy("spatial_key")
+    both = F.col("foot_traffic").isNotNull() & F.col("sales").isNotNull()
+    y, x = F.when(both, F.col("foot_traffic")), F.when(both, F.col("sales"))
+    spread = F.sqrt(F.regr_sxx(y, x).over(whole) * F.regr_syy(y, x).over(whole))
+    r = F.try_divide(F.regr_sxy(y, x).over(whole), spread)
+    return (
+        buckets.withColumns({"sample_size": F.count(y).over(whole), "_r": r})
+        .withColumn("correlation", F.when(F.col("sample_size") >= 3, F.col("_r")))
+        .withColumn("interpretation", correlation_strength(F.col("correlation")))
+        .drop("_r")
+    )
+
+
 def place_correlation(buckets: DataFrame) -> DataFrame:
     """Correlation of foot traffic and sales over the buckets of a place."""
     known = buckets.where(F.col("foot_traffic").isNotNull() & F.col("sales").isNotNull())
@@ -102,16 +126,20 @@ def bucket_summary(records: DataFrame) -> DataFrame:
 
 
 def highlights(metrics: DataFrame) -> DataFrame:
-    """Known volatility and rate of change per domain, as a list per bucket."""
+    """Known volatility and rate of change per domain, as a list per bucket, with its impact.
+
+    A bucket has one metrics row per domain.
+    """
     known = F.col("volatility").isNotNull() | F.col("rate_of_change").isNotNull()
     entry = F.struct(F.col("source").alias("domain"), "rate_of_change", "volatility")
-    return metrics.groupBy(*BUCKET).agg(
+    return _with_impact_class(metrics.groupBy(*BUCKET).agg(
+        *_impact_columns(),
         F.array_sort(F.collect_list(F.when(known, entry))).alias("metrics_summary"),
         F.min_by("time_unit", "source").alias("temporal_unit"),
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("source", F.struct(
             "baseline", "current", "uplift", "volatility", "rate_of_change", "time_unit"
         ).alias("values"))))).alias("metrics"),
-    )
+    ))
 
 
 def two_places(value: Column) -> Column:
@@ -144,12 +172,9 @@ def narrative() -> Column:
 
 def insights(records: DataFrame, metrics: DataFrame) -> DataFrame:
     """One insight row per place and time from normalised records and their metrics."""
-    totals = fuse(records)
-    rows = trend(totals, "sales", ["spatial_key"], "time_key")
+    rows = with_correlation(trend(fuse(records), "sales", ["spatial_key"], "time_key"))
     rows = (
-        rows.join(place_correlation(totals), "spatial_key", "left")
-        .join(impact(metrics), BUCKET, "left")
-        .join(highlights(metrics), BUCKET, "left")
+        rows.join(highlights(metrics), BUCKET, "left")
         .join(leading_groups(listed_demographics(records)), BUCKET, "left")
     )
     return rows.withColumns({

@@ -168,19 +168,23 @@ def normalise(records: DataFrame) -> DataFrame:
     return validate(common_axes(fill_missing(records)))
 
 
+def source_totals(records: DataFrame) -> DataFrame:
+    """Measures per place, time and source; the only shuffle of single records."""
+    return records.groupBy("spatial_key", "time_key", "source").agg(
+        F.sum("population.foot_traffic").alias("foot_traffic"),
+        F.sum("economic.sales").alias("sales"),
+        F.count(F.lit(1)).alias("records"),
+    )
+
+
 def fuse(records: DataFrame) -> DataFrame:
     """Records of all sources per place and time, one array entry per source.
 
     The records of a source are added up first, so an entry count never exceeds
     the number of sources, however many records a bucket has.
     """
-    per_source = records.groupBy("spatial_key", "time_key", "source").agg(
-        F.sum("population.foot_traffic").alias("foot_traffic"),
-        F.sum("economic.sales").alias("sales"),
-        F.count(F.lit(1)).alias("records"),
-    )
     entry = F.struct("source", "foot_traffic", "sales", "records")
-    return per_source.groupBy("spatial_key", "time_key").agg(
+    return source_totals(records).groupBy("spatial_key", "time_key").agg(
         F.array_sort(F.collect_list(entry)).alias("by_source"),
         F.sum("foot_traffic").alias("foot_traffic"),
         F.sum("sales").alias("sales"),

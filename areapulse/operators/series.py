@@ -10,12 +10,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from areapulse.functions.numbers import change, ratio
 from areapulse.functions.text import parse_date
+from areapulse.operators.records import source_totals
 
 # Measure, time unit, baseline length and metrics per domain.
 DOMAIN_CONFIG = {
-    "telco": {"measure": "population.foot_traffic", "time_unit": "day", "baseline": 7,
+    "telco": {"measure": "foot_traffic", "time_unit": "day", "baseline": 7,
               "metrics": ["uplift", "volatility", "rate_of_change"]},
-    "sales": {"measure": "economic.sales", "time_unit": "month", "baseline": 3,
+    "sales": {"measure": "sales", "time_unit": "month", "baseline": 3,
               "metrics": ["uplift", "rate_of_change", "volatility"]},
 }
 DYNAMIC_CONFIG = {"festival": {"time_unit": "day", "baseline": "dynamic", "metrics": ["uplift"]}}
@@ -29,12 +30,10 @@ def domain_series(records: DataFrame, config: dict = DOMAIN_CONFIG) -> DataFrame
     for source, settings in config.items():
         value = F.when(F.col("source") == source, F.col(settings["measure"])).otherwise(value)
     return (
-        records.where(F.col("source").isin(list(config)) & F.col("time_key").isNotNull())
-        .select(*KEYS, "time_key", value.alias("value"))
-        .where(F.col("value").isNotNull())
-        .groupBy(*KEYS, "time_key")
-        .agg(F.sum("value").alias("current"))
-        .withColumn("_date", parse_date(F.col("time_key")))
+        source_totals(records)
+        .where(F.col("source").isin(list(config)) & F.col("time_key").isNotNull())
+        .select(*KEYS, "time_key", value.alias("current"), parse_date(F.col("time_key")).alias("_date"))
+        .where(F.col("current").isNotNull())
     )
 
 

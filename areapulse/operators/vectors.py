@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 # Executors get the task functions below with the job and need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-PIVOTS = 32
+MAX_PIVOTS = 256
 RING = 0.05
 BLOCK_ROWS = 4096
 TOP_K = 5
@@ -71,7 +71,7 @@ def nearest_stored(
     keys: list[str],
     k: int = TOP_K,
     threshold: float = THRESHOLD,
-    pivots: int = PIVOTS,
+    pivots: int | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Top ``k`` stored vectors per query with cosine similarity of at least ``threshold``.
@@ -79,7 +79,9 @@ def nearest_stored(
     Both frames have ``id`` (long), ``vector`` and the columns ``keys``, which must
     be equal for a match.
     """
-    # A fixed number of pivots, picked by hash so that the choice is repeatable.
+    if pivots is None:
+        pivots = max(1, min(MAX_PIVOTS, stored.count() // (8 * block_rows)))
+    # A bounded number of pivots, picked by hash so that the choice is repeatable.
     picked = stored.orderBy(F.xxhash64("id"), "id").limit(pivots).select("vector").toPandas()
     if picked.empty:
         return queries.select(
@@ -93,7 +95,7 @@ def nearest_stored(
     placed = stored.select("id", "vector", *keys, angles("vector").alias("_angles")).select(
         "id", "vector", *keys,
         (F.array_position("_angles", nearest) - 1).cast("int").alias("_cell"),
-        F.floor(nearest / RING).cast("int").alias("_ring"),
+        (F.floor(nearest / RING) if pivots > 1 else F.lit(0)).cast("int").alias("_ring"),
         nearest.alias("_angle"),
     )
     ring = [*keys, "_cell", "_ring"]
