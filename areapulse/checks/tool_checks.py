@@ -136,7 +136,7 @@ check("k2_latest_row", statement(
 
 check("k8_latest_date_of_year", statement(
     "SELECT spatial_label, year(date) AS year, max(date) AS date FROM trend_sig GROUP BY 1, 2",
-    "spatial_label CAST(year AS INTEGER) AS year date".replace("CAST(year AS INTEGER) AS year", "year"), "", SIG,
+    "spatial_label year date", "", SIG,
 ))(lambda spark, sf: tools.latest_by_year(tools.series_at(gold(spark, sf), "sig"), ["spatial_label"]).select(
     "spatial_label", F.col("year").cast("long"), "date"))
 
@@ -309,7 +309,8 @@ check("r8_region_payload", statement(
     " ".join(["tail_sales dominant_share", *EXTREME_VALUES]), ALL_VIEWS,
 ))(lambda spark, sf: payloads.region_payload(cand.candidates(gold(spark, sf), "norm"), ["spatial_label"]).select(
     "spatial_label", "date_min", "date_max", F.size("series").cast("long").alias("months"),
-    F.aggregate(F.filter("domains.sales.series", lambda r: r["value"].isNotNull()), F.lit(0.0), lambda a, r: a + r["value"]).alias("tail_sales"),
+    F.when(F.exists("domains.sales.series", lambda r: r["value"].isNotNull()), F.aggregate(
+        "domains.sales.series", F.lit(0.0), lambda a, r: a + F.coalesce(r["value"], F.lit(0.0)))).alias("tail_sales"),
     "dominant_group", "dominant_share", joined_dates("highlights.foot_traffic_anomalies").alias("foot_traffic_anomalies"),
     joined_dates("domains.sales.highlights.anomalies").alias("sales_anomalies"), *flat_extremes(None)))
 
