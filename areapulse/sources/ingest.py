@@ -78,8 +78,11 @@ class IngestStore:
         """Committed (batch, file) pairs; with ``replace`` only the newest version of a file."""
         log = self.log()
         if replace:
+            # The newest version of a file, in the newest batch that holds it.
             newest = Window.partitionBy("source", "path").orderBy(F.desc("mtime"), F.desc("ingested_at"), "batch_id")
-            log = log.withColumn("_place", F.row_number().over(newest)).where(F.col("_place") == 1)
+        else:
+            newest = Window.partitionBy(*FILE_KEY).orderBy(F.desc("ingested_at"), "batch_id")
+        log = log.withColumn("_place", F.row_number().over(newest)).where(F.col("_place") == 1)
         return log.select("batch_id", F.col("path").alias("source_file")).distinct()
 
     def _rows(self, name: str, schema, replace: bool) -> DataFrame:
@@ -99,7 +102,8 @@ class IngestStore:
     def spatial(self) -> DataFrame:
         """The dimension: first known value per key and column over the committed batches."""
         stored = _copy(DIM_SPATIAL).add("batch_id", "string")
-        order = self.log().groupBy("batch_id").agg(F.min("ingested_at").alias("_at"))
+        current = self.committed(replace=False).select("batch_id")
+        order = self.log().join(current, "batch_id", "left_semi").groupBy("batch_id").agg(F.min("ingested_at").alias("_at"))
         rows = _read_or_empty(self.spark, f"{self.root}/spatial", stored).join(order, "batch_id")
         names = [n for n in DIM_SPATIAL.names if n != "spatial_key"]
         place = F.struct("_at", "batch_id")
@@ -107,6 +111,25 @@ class IngestStore:
             *[F.min_by(n, F.when(F.col(n).isNotNull(), place)).alias(n) for n in names]
         )
 
+    def compact(self, replace: bool = False) -> str:
+        """Rewrite the committed rows as one batch, so that reads open few files.
+
+        The log entry that names the new batch is written last; until then readers
+        see the old batches. Earlier versions of changed files are kept or dropped
+        for good, as ``replace`` says.
+        """
+        batch_id = f"compact-{uuid.uuid4().hex}"
+        tables = {"activity": _copy(GOLD_ACTIVITY), "demographics": _copy(GOLD_DEMOGRAPHICS)}
+        for name, schema in tables.items():
+            rows = self._rows(name, schema, replace).drop("batch_id")
+            rows.write.mode("overwrite").parquet(f"{self.root}/{name}/batch_id={batch_id}")
+        self.spatial().write.mode("overwrite").parquet(f"{self.root}/spatial/batch_id={batch_id}")
+        entries = self.log().select(*FILE_KEY).distinct().withColumns(
+            {"batch_id": F.lit(batch_id), "ingested_at": F.current_timestamp()}
+        )
+        entries.coalesce(1).write.mode("append").parquet(f"{self.root}/log")
+        return batch_id
+
     def merged_spatial(self, dim: DataFrame) -> DataFrame:
         return fill_spatial(dim, self.spatial())
 

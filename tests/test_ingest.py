@@ -47,6 +47,23 @@ def test_same_files_twice_change_nothing_and_a_changed_file_adds_or_replaces(spa
     assert rows(store.activity(), "foot_traffic") == [(167.0,)]
     assert rows(store.activity(replace=True), "foot_traffic") == [(157.0,)]
     assert rows(store.spatial(), "spatial_key", "spatial_label") == [("11680", "11680")]
+    store.compact()
+    assert rows(store.activity(), "foot_traffic") == [(167.0,)]
+    assert rows(store.committed(replace=False), "batch_id")[0][0].startswith("compact-")
+    put(tmp_path / "in", "c.csv", TELCO + "202401,1,11680,1,0\n")
+    assert store.ingest("telco", [folder], "*.csv") == 1
+    assert rows(store.activity(), "foot_traffic") == [(168.0,)]
+    assert rows(store.spatial(), "spatial_key", "spatial_label") == [("11680", "11680")]
+
+
+def test_compaction_can_drop_earlier_versions(spark, rows, tmp_path):
+    folder = put(tmp_path / "in", "a.csv", TELCO + "202401,1,11680,3,4\n")
+    store = IngestStore(spark, str(tmp_path / "store"))
+    store.ingest("telco", [folder], "*.csv")
+    put(tmp_path / "in", "a.csv", TELCO + "202401,1,11680,100,50\n")
+    store.ingest("telco", [folder], "*.csv")
+    store.compact(replace=True)
+    assert rows(store.activity(), "foot_traffic") == rows(store.activity(replace=True), "foot_traffic") == [(150.0,)]
 
 
 def test_rows_of_a_run_that_did_not_commit_are_not_read(spark, rows, tmp_path):
