@@ -7,7 +7,7 @@ from areapulse.checks.sqltext import (
     ALL_VIEWS, DEMO_RANK, GOLD, TREND_NORM, _guarded, candidate, statement, trend_admin, trend_admin_repeated,
 )
 from areapulse.operators import candidates as cand, rollups
-from areapulse.session import new_folder
+from areapulse.session import new_folder, stage
 from areapulse.sources.staging import gold
 
 SUMS = "foot_traffic sales sales_count"
@@ -124,8 +124,13 @@ check("w4_date_averages", statement(
 
 check("w5_date_ranks", statement(
     "SELECT * FROM candidate_norm", "spatial_label date ft_rank sales_rank", "", NORM,
-))(lambda spark, sf: cand.with_date_columns(base(spark, sf), base(spark, sf)).select(
-    "spatial_label", "date", "ft_rank", "sales_rank"))
+))(lambda spark, sf: _ranks(stage(spark, base(spark, sf), "trend_norm", ("date",))))
+
+
+def _ranks(rows):
+    return cand.with_date_columns(rows, rows).select("spatial_label", "date", "ft_rank", "sales_rank")
+
+
 
 check("w6_dominant_group", statement(
     "SELECT spatial_label, date, sex || '_' || age_group AS dominant_group, value / nullif(total_value, 0) AS dominant_share "

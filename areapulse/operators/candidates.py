@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from areapulse.functions.numbers import change, correlation, ratio, slope, zscore
 from areapulse.functions.ordering import value_positions
 from areapulse.operators.rollups import LEVELS, monthly, trend
+from areapulse.session import stage
 
 COLUMNS = [
     "spatial_label", "date", "foot_traffic", "sales",
@@ -140,9 +141,12 @@ def candidates(gold, level: str, dedupe: bool = True) -> DataFrame:
     if level not in LEVELS:
         raise ValueError("level must be one of: norm, sig, sido")
     base = trend(gold, level, dedupe).select("spatial_label", "date", "foot_traffic", "sales")
-    rows = series_columns(base)
-    small = gold.keys_per_date <= WINDOW_ROWS
-    rows = date_windows(rows) if small else with_date_columns(rows, base)
+    if gold.keys_per_date <= WINDOW_ROWS:
+        rows = date_windows(series_columns(base))
+    else:
+        # Ranks, means and series all start from the roll-up, so it is computed once.
+        base = stage(base.sparkSession, base, f"trend_{level}", ("date",))
+        rows = with_date_columns(series_columns(base), base)
     if level == "norm":
         rows = rows.join(dominant_groups(gold.demographics, gold.dim), ["spatial_label", "date"], "left")
     else:
