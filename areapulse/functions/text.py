@@ -79,11 +79,12 @@ def first_non_empty(columns: list[str]) -> Column:
 
 def parse_date(text: Column) -> Column:
     """``YYYYMM``, ``YYYY-MM``, ``YYYY-MM-DD`` (time allowed) or ``YYYYMMDD`` to a date."""
-    # Each step refers to its input once, so a long input expression is not repeated.
-    t = F.trim(text.cast("string"))
-    day = F.regexp_replace(t, r"^(\d{4})-?(\d{2})$", "$1-$2-01")
-    dashed = F.regexp_replace(day, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
-    return F.regexp_extract(dashed, r"^(\d{4}-\d{2}-\d{2})(?:[T ].*)?$", 1).try_cast("date")
+    # One pass that names its input once: the mark in front keeps other texts from
+    # being read as dates, and a month gets the day that is cut off everywhere else.
+    marked = F.concat(F.lit("!"), F.trim(text.cast("string")))
+    pattern = r"^!(\d{4})(-?)(\d{2})(?:\2(\d{2})(?:[T ].*)?)?$"
+    iso = F.concat(F.regexp_replace(marked, pattern, "$1-$3-$4"), F.lit("01"))
+    return F.substring(iso, 1, 10).try_cast("date")
 
 
 def month_start(date: Column) -> Column:

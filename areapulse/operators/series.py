@@ -12,14 +12,14 @@ from areapulse.functions.numbers import change, ratio
 from areapulse.functions.text import parse_date
 from areapulse.operators.records import source_totals
 
-# Measure, time unit, baseline length and metrics per domain.
+# Measure, time unit, baseline length and metrics per domain. An event
+# domain has no fixed length; :func:`dynamic_baseline` serves it.
 DOMAIN_CONFIG = {
     "telco": {"measure": "foot_traffic", "time_unit": "day", "baseline": 7,
               "metrics": ["uplift", "volatility", "rate_of_change"]},
     "sales": {"measure": "sales", "time_unit": "month", "baseline": 3,
               "metrics": ["uplift", "rate_of_change", "volatility"]},
 }
-DYNAMIC_CONFIG = {"festival": {"time_unit": "day", "baseline": "dynamic", "metrics": ["uplift"]}}
 KEYS = ["source", "spatial_key"]
 TREND_POINTS = 3
 

@@ -5,8 +5,9 @@ triangle inequality a ring can only hold a match if its range of angles comes
 within the threshold angle of the query's own angle to that pivot; other rings
 are skipped without losing a match. What remains is compared block by block as a
 matrix product inside the tasks, which hand on at most ``k`` matches per query.
-Rings and query sets above ``block_rows`` are split, so no task grows with a hot
-group, and the pivots only steer the work: the result does not depend on them.
+Groups of equal keys up to ``block_rows`` are one block and need no pivots. Rings
+and query sets above it are split, so no task grows with a hot group. The pivots
+only steer the work: the result does not depend on them.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ BLOCK_ROWS = 4096
 TOP_K = 5
 THRESHOLD = 0.92
 SLACK = 1e-6
+# Cell number of a group that is compared as a whole.
+WHOLE = -1
 
 
 def _unit(vectors: pd.Series) -> np.ndarray:
@@ -79,8 +82,10 @@ def nearest_stored(
     Both frames have ``id`` (long), ``vector`` and the columns ``keys``, which must
     be equal for a match.
     """
+    sizes = stored.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
     if pivots is None:
-        pivots = max(1, min(MAX_PIVOTS, stored.count() // (8 * block_rows)))
+        largest = sizes.agg(F.max("_size").alias("n")).first()["n"] or 0
+        pivots = max(1, min(MAX_PIVOTS, largest // (8 * block_rows)))
     # A bounded number of pivots, picked by hash so that the choice is repeatable.
     picked = stored.orderBy(F.xxhash64("id"), "id").limit(pivots).select("vector").toPandas()
     if picked.empty:
@@ -92,10 +97,11 @@ def nearest_stored(
     reach = math.acos(max(-1.0, min(1.0, threshold))) + SLACK
 
     nearest = F.array_min("_angles")
-    placed = stored.select("id", "vector", *keys, angles("vector").alias("_angles")).select(
+    split = sizes.where(F.col("_size") > block_rows).select(*keys, F.lit(True).alias("_split"))
+    placed = stored.select("id", "vector", *keys, angles("vector").alias("_angles")).join(split, keys, "left").select(
         "id", "vector", *keys,
-        (F.array_position("_angles", nearest) - 1).cast("int").alias("_cell"),
-        (F.floor(nearest / RING) if pivots > 1 else F.lit(0)).cast("int").alias("_ring"),
+        F.when(F.col("_split"), F.array_position("_angles", nearest) - 1).otherwise(WHOLE).cast("int").alias("_cell"),
+        F.when(F.col("_split"), F.floor(nearest / RING)).otherwise(0).cast("int").alias("_ring"),
         nearest.alias("_angle"),
     )
     ring = [*keys, "_cell", "_ring"]
@@ -115,8 +121,9 @@ def nearest_stored(
         .withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
         .select(*task, "id", "vector")
     )
-    own_angle = F.element_at("_angles", F.col("_cell") + 1)
-    near = own_angle.between(F.col("_low") - reach, F.col("_high") + reach)
+    own_angle = F.get("_angles", F.col("_cell"))
+    within = own_angle.between(F.col("_low") - reach, F.col("_high") + reach)
+    near = (F.col("_cell") == WHOLE) | within
     query_rows = (
         queries.select("id", "vector", *keys, angles("vector").alias("_angles"))
         .join(blocks, keys)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from areapulse.functions.periods import YEAR, between, parse_period
+from areapulse.functions.periods import between, parse_period
 from areapulse.operators import candidates as cand
 from areapulse.operators.rollups import LEVELS, demographic_share, monthly, trend, year_on_year
 
@@ -168,13 +168,23 @@ def advanced_insight(gold, domains: list[str], region: str | None = None, level:
     return cand.advanced(rows).withColumn("domains", F.lit(chosen))
 
 
-def report(gold, region: str, period_from: str, period_to: str, level: str | None = None) -> dict[str, DataFrame]:
-    """The four tool results for one region, as separate frames."""
+def report(
+    gold, region: str, period_from: str | None, period_to: str | None, level: str | None = None
+) -> dict[str, DataFrame]:
+    """The four tool results for one region, as separate frames.
+
+    Anomaly and ranking look at the month the period ends in (the latest month
+    with data when it ends with a year).
+    """
+    end = (period_to or period_from or "").strip()
+    if not end:
+        raise ValueError("period is required")
+    month = end[:7] if "-" in end else end
     both = list(DOMAINS)
     return {
         "compare_domains": compare_domains(gold, both, period_from, period_to, region, level),
-        "detect_anomaly": detect_anomaly(gold, "sales", region, period_to, level=level),
-        "get_rankings": rankings(gold, "sales", period_to, 10, level),
+        "detect_anomaly": detect_anomaly(gold, "sales", region, month, level=level),
+        "get_rankings": rankings(gold, "sales", month, 10, level),
         "get_advanced_insight": advanced_insight(gold, both, region, level),
     }
 

@@ -71,11 +71,11 @@ def test_vector_look_up_equals_brute_force_however_it_is_split(spark):
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(6, 12))
     # One group holds most of the vectors, and near copies make dense cells.
-    items = [(i, centres[rng.integers(6)] + rng.normal(scale=0.4, size=12), "hot" if i % 5 else "cold") for i in range(300)]
+    items = [(i, centres[rng.integers(6)] + rng.normal(scale=0.4, size=12), "hot" if i % 5 else "cold") for i in range(150)]
     frame = spark.createDataFrame([(i, [float(x) for x in v], g) for i, v, g in items], "id long, vector array<double>, g string")
     want = brute_force(items, 3, 0.92)
-    assert len(want) > 300
-    for pivots, block_rows in ((1, 1000), (5, 37), (9, 8)):
+    assert len(want) > 150
+    for pivots, block_rows in ((None, 4096), (4, 60), (6, 24)):
         got = vectors.nearest_stored(frame, frame, ["g"], k=3, threshold=0.92, pivots=pivots, block_rows=block_rows)
         assert sorted((r["query_id"], r["match_id"]) for r in got.collect()) == want
     assert vectors.nearest_stored(frame, frame.limit(0), ["g"]).count() == 0
