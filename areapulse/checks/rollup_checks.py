@@ -1,5 +1,7 @@
 """Trends, year-on-year, shares, name joins, candidates and advanced measures."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from areapulse.checks.registry import check
@@ -152,6 +154,12 @@ for _id, _level in (("w7", "norm"), ("w8", "sig"), ("w9", "sido")):
     check(f"{_id}_candidates_{_level}", statement(f"SELECT * FROM candidate_{_level}", CAND_KEEP, CAND_DOUBLES, ALL_VIEWS))(
         lambda spark, sf, level=_level: cand.candidates(gold(spark, sf), level))
 
+for _id, _level in (("w8", "sig"), ("w9", "sido")):
+    check(f"{_id}_candidates_{_level}_repeated", statement(
+        f"SELECT * FROM candidate_{_level}", CAND_KEEP, CAND_DOUBLES,
+        ",".join([GOLD, trend_admin_repeated(_level), candidate(_level)]),
+    ))(lambda spark, sf, level=_level: cand.candidates(replace(gold(spark, sf), dedupe=False), level))
+
 check("u1_candidates_all", statement("SELECT * FROM candidate_all", "level " + CAND_KEEP, CAND_DOUBLES, ALL_VIEWS))(
     lambda spark, sf: cand.candidates_all(gold(spark, sf)))
 

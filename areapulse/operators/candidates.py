@@ -136,7 +136,7 @@ def dominant_groups(demographics: DataFrame, dim: DataFrame) -> DataFrame:
     )
 
 
-def candidates(gold, level: str, dedupe: bool = True) -> DataFrame:
+def candidates(gold, level: str, dedupe: bool | None = None) -> DataFrame:
     """The 24 candidate columns at ``norm``, ``sig`` or ``sido``."""
     if level not in LEVELS:
         raise ValueError("level must be one of: norm, sig, sido")
@@ -157,7 +157,7 @@ def candidates(gold, level: str, dedupe: bool = True) -> DataFrame:
     return rows.select(*COLUMNS)
 
 
-def candidates_all(gold, levels: tuple[str, ...] = LEVELS, dedupe: bool = True) -> DataFrame:
+def candidates_all(gold, levels: tuple[str, ...] = LEVELS, dedupe: bool | None = None) -> DataFrame:
     """Candidates of several levels under one another, with their ``level``."""
     parts = [candidates(gold, lv, dedupe).select(F.lit(lv).alias("level"), *COLUMNS) for lv in levels]
     return reduce(DataFrame.unionByName, parts)
@@ -177,7 +177,7 @@ def advanced(rows: DataFrame) -> DataFrame:
     )
 
 
-def advanced_input(gold, levels: tuple[str, ...] = LEVELS, dedupe: bool = True) -> DataFrame:
+def advanced_input(gold, levels: tuple[str, ...] = LEVELS, dedupe: bool | None = None) -> DataFrame:
     """The candidate columns that :func:`advanced` reads, without ranks and leaders."""
     parts = []
     for level in levels:

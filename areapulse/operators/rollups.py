@@ -177,8 +177,13 @@ def _repeated_names(activity: DataFrame, dim: DataFrame, admin_sig: DataFrame, l
     )
 
 
-def trend(gold, level: str, dedupe: bool = True) -> DataFrame:
-    """Monthly trend at ``norm``, ``emd``, ``sig`` or ``sido``."""
+def trend(gold, level: str, dedupe: bool | None = None) -> DataFrame:
+    """Monthly trend at ``norm``, ``emd``, ``sig`` or ``sido``.
+
+    Without ``dedupe`` the tables decide how names that fan out are treated.
+    """
+    if dedupe is None:
+        dedupe = getattr(gold, "dedupe", True)
     if level in ("norm", "emd"):
         rolled = trend_norm(gold.activity, gold.dim, dedupe)
         return rolled.where(F.col("spatial_type") == "emd") if level == "emd" else rolled

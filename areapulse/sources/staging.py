@@ -21,13 +21,18 @@ from areapulse.session import stage
 
 @dataclass
 class Gold:
-    """The shared tables an analysis reads."""
+    """The shared tables an analysis reads.
+
+    ``dedupe=False`` makes every roll-up to districts and provinces repeat facts
+    per source, as a self join on key and date does.
+    """
 
     activity: DataFrame
     demographics: DataFrame
     dim: DataFrame
     admin_sig: DataFrame
     admin_sido: DataFrame
+    dedupe: bool = True
 
     @cached_property
     def keys_per_date(self) -> int:

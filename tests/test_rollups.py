@@ -46,6 +46,8 @@ def test_two_sources_of_one_key_and_month(spark, rows):
     data = gold(spark, facts, places, SIG)
     assert rows(rollups.trend(data, "sig"), "spatial_label", "foot_traffic", "sales") == [("Gangnam", 4.0, 10.0)]
     assert rows(rollups.trend(data, "sig", dedupe=False), "spatial_label", "foot_traffic", "sales") == [("Gangnam", 8.0, 20.0)]
+    data.dedupe = False
+    assert rows(tools.rankings(data, "sales", "2024", level="sig"), "value") == [(20.0,)]
 
 
 def test_district_names_that_occur_twice(spark, rows):
