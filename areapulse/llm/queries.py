@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from areapulse.llm import packing, records, warc
+from areapulse.llm import language, packing, records, rules, simhash, warc
 from areapulse.llm.common import table
 
 
@@ -19,15 +19,34 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
+
+
 def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = records.write_records(table(spark, sf_dir, "documents"))
     return records.read_records(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predictions(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op4_quality_rules": op4_quality_rules,
+    "op5_simhash": op5_simhash,
     "op7_token_records": op7_token_records,
+    "op10_language": op10_language,
 }
 
 SQL: dict[str, str] = {
