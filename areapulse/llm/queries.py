@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from areapulse.llm import language, packing, records, rules, simhash, topk, warc
+from areapulse.llm import language, packing, records, recurrent, rules, simhash, topk, warc
 from areapulse.llm.common import table
 
 
@@ -40,6 +40,10 @@ def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.read_records(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent.scored(table(spark, sf_dir, "documents"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predictions(table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_simhash": op5_simhash,
     "op7_token_records": op7_token_records,
+    "op9_language_model": op9_language_model,
     "op10_language": op10_language,
 }
 
