@@ -24,7 +24,7 @@ from areapulse.session import stage
 
 CAPACITY = 1024
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
-BLOCK_ROWS = 1_000_000
+BLOCK_ROWS = 16_384
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 2, vocabulary: str = VOCABULARY) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from areapulse.llm import language, packing, records, recurrent, rules, simhash, topk, warc
+from areapulse.llm import chaining, language, mixing, packing, records, recurrent, rules, simhash, topk, warc
 from areapulse.llm.common import table
 
 
@@ -35,11 +35,20 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
 
 
+def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.passages(table(spark, sf_dir, "documents"))
+
+
 def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = records.write_records(table(spark, sf_dir, "documents"))
     return records.read_records(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sized = mixing.sized_leaves(table(spark, sf_dir, "documents"))
+    return mixing.mixed(sized, mixing.plan(sized))
+
+
 def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recurrent.scored(table(spark, sf_dir, "documents"))
 
@@ -54,7 +63,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_top_k": op3_top_k,
     "op4_quality_rules": op4_quality_rules,
     "op5_simhash": op5_simhash,
+    "op6_repeated_passages": op6_repeated_passages,
     "op7_token_records": op7_token_records,
+    "op8_source_mixture": op8_source_mixture,
     "op9_language_model": op9_language_model,
     "op10_language": op10_language,
 }

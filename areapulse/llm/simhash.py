@@ -77,6 +77,17 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS, seed: int = SEED)
     return map_rows(docs, ["doc_id", "text"], "doc_id long, fp long", each)
 
 
+def with_fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS, seed: int = SEED) -> DataFrame:
+    """``docs`` with the signed fingerprint of each row as ``_simhash``."""
+
+    def add(batches):
+        for batch in batches:
+            values = np.array([fingerprint(t, width, seed) for t in batch.column("text").to_pylist()], np.uint64).view(np.int64)
+            yield batch.append_column("_simhash", pa.array(values, pa.int64()))
+
+    return docs.mapInArrow(add, docs.withColumn("_simhash", F.lit(0).cast("long")).schema)
+
+
 def gray_rank(bits: np.ndarray) -> np.ndarray:
     """The place of a bit pattern in the reflected Gray sequence."""
     rank = bits.astype(np.uint64)
