@@ -13,7 +13,7 @@ from areapulse.sources import files, lake, upserts
 from areapulse.sources.ingest import IngestStore
 from areapulse.sources.rawdata import raw_frame, raw_sql
 from areapulse.sources.staging import gold, table
-from areapulse.streaming.ingest import stream_files, streamed_activity
+from areapulse.streaming.ingest import stream_files
 
 
 def num(*columns: str) -> str:
@@ -191,14 +191,49 @@ def csv_scan(spark, sf):
     return norm.sales(files.read_csv(spark, paths)).activity
 
 
-@check("d2_header_and_delimiter", "SELECT 'sales' AS domain, ',' AS sep, CAST(13 AS BIGINT) AS n, count(*) AS rows FROM orders")
+@check("d2_header_and_delimiter", "SELECT ',' AS sep, CAST(13 AS BIGINT) AS n, count(*) AS rows FROM orders")
 def header(spark, sf):
     path = dump(spark, sf, "sales", "header")
-    first = files.collect_files(spark, [path], ["*.csv"])[0]
-    sep = files.detect_delimiter(files.first_lines(spark, first))
-    names = files.peek_columns(spark, first)
-    return files.read_directory(spark, path).agg(F.count(F.lit(1)).alias("rows")).select(
-        F.lit("sales").alias("domain"), F.lit(sep).alias("sep"), F.lit(len(names)).cast("long").alias("n"), "rows")
+    found = files.layouts(spark, files.collect_files(spark, [path], ["*.csv"]))
+    rows = files.read_directory(spark, path).agg(F.count(F.lit(1)).alias("rows"))
+    return found.select("sep", F.size("columns").cast("long").alias("n")).distinct().crossJoin(rows)
+
+
+def mixed_drops(spark, sf):
+    """Four drops of one source: commas, bars, columns turned round, and one column more."""
+    raw, tests = raw_frame(spark, sf, "telco"), ["< '199401'", "BETWEEN '199401' AND '199512'", "BETWEEN '199601' AND '199712'", "> '199712'"]
+    out = []
+    for n, (test, sep) in enumerate(zip(tests, [",", "|", ",", ";"])):
+        part = raw.where(f"CRTR_YM {test}").coalesce(1)
+        part = part.select(*reversed(part.columns)) if n == 2 else part.withColumn("EXTRA", F.lit("x")) if n == 3 else part
+        out.append(new_folder(spark, f"mixed{n}"))
+        part.write.option("header", True).option("sep", sep).csv(out[-1])
+    return out
+
+
+check("d1_mixed_layouts", statement(ACTIVITY_SQL["telco"], KEYS, MEASURES, ""))(
+    lambda spark, sf: norm.telco(files.read_csv(spark, files.collect_files(spark, mixed_drops(spark, sf), ["*.csv"]))).activity)
+
+
+LAYOUT_SQL = " UNION ALL ".join(
+    f"SELECT {n} AS drop, '{sep}' AS sep, CAST({more} AS BIGINT) AS extra, '{first}' AS first FROM (SELECT count(*) AS c FROM orders) WHERE c > 0"
+    for n, sep, more, first in ((0, ",", 0, "CRTR_YM"), (1, "|", 0, "CRTR_YM"), (2, ",", 0, "last"), (3, ";", 1, "CRTR_YM")))
+
+
+@check("d2_layout_per_file", LAYOUT_SQL)
+def layout_per_file(spark, sf):
+    drops, width = mixed_drops(spark, sf), len(raw_frame(spark, sf, "telco").columns)
+    found = files.layouts(spark, files.collect_files(spark, drops, ["*.csv"]))
+    return found.select(
+        F.regexp_extract("source_file", r"mixed(\d)", 1).cast("int").alias("drop"), "sep", (F.size("columns") - width).cast("long").alias("extra"),
+        F.when(F.col("columns")[0] == "CRTR_YM", "CRTR_YM").otherwise("last").alias("first"))
+
+
+@check("d3_mixed_layouts", statement(ACTIVITY_SQL["telco"], KEYS, MEASURES, ""))
+def mixed_ingest(spark, sf):
+    store = IngestStore(spark, new_folder(spark, "store"))
+    store.ingest("telco", mixed_drops(spark, sf), "*.csv")
+    return store.activity()
 
 
 @check("d3_incremental_ingest", statement(ACTIVITY_SQL["telco"], KEYS, MEASURES, ""))
@@ -212,14 +247,21 @@ def incremental(spark, sf):
     return store.activity()
 
 
-@check("d3_streaming_ingest", statement(ACTIVITY_SQL["inflow"], KEYS, MEASURES, ""))
-def streaming(spark, sf):
-    drop, target, state = (dump(spark, sf, "inflow", "inflow"), new_folder(spark, "target"), new_folder(spark, "state"))
-    sample = files.collect_files(spark, [drop], ["*.csv"])[0]
-    for _ in range(2):
-        stream_files(spark, "inflow", drop, "*.csv", sample, target, state).awaitTermination()
-    return streamed_activity(spark, target)
+def streamed(spark, sf, domain):
+    """A store filled by a stream, then offered the same files with the old and with a fresh checkpoint."""
+    drop, state, store = dump(spark, sf, domain, domain), new_folder(spark, "state"), IngestStore(spark, new_folder(spark, "store"))
+    for checkpoint in (state, state, new_folder(spark, "state")):
+        stream_files(store, domain, drop, "*.csv", checkpoint).awaitTermination()
+    return store
+
 
+check("d3_streaming_ingest", statement(ACTIVITY_SQL["inflow"], KEYS, MEASURES, ""))(
+    lambda spark, sf: streamed(spark, sf, "inflow").activity())
+check("d3_streaming_demographics", statement(DEMOGRAPHICS_SQL["unique"], KEYS + " sex age_group", "value", ""))(
+    lambda spark, sf: streamed(spark, sf, "unique").demographics())
+check("d3_streaming_spatial", statement(
+    f"SELECT DISTINCT spatial_key, spatial_key AS spatial_label FROM ({ACTIVITY_SQL['inflow']})", "spatial_key spatial_label", "", ""))(
+    lambda spark, sf: streamed(spark, sf, "inflow").spatial().select("spatial_key", "spatial_label"))
 
 check("d4_pruned_scan", f"SELECT VST_SGG_CD, count(*) AS n FROM ({raw_sql('telco')}) GROUP BY 1")(
     lambda spark, sf: files.read_csv(

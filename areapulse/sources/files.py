@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -49,10 +50,16 @@ def collect_files(
     return paths
 
 
-def first_lines(spark: SparkSession, path: str, lines: int = 20) -> list[str]:
-    """The first lines of one file, without a byte order mark."""
-    rows = spark.read.text(path).take(lines)
-    return [row["value"].removeprefix(BOM) for row in rows]
+def first_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``source_file`` and first ``line`` of every file that has one, without a byte order mark.
+
+    Only the first block of a file is looked at; a task hands on one line per file.
+    """
+    rows = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("_start"), "value"
+    )
+    firsts = rows.where(F.col("_start") == 0).groupBy("source_file").agg(F.first("value").alias("line"))
+    return firsts.select("source_file", F.regexp_replace("line", f"^{BOM}", "").alias("line")).where(F.trim("line") != "")
 
 
 def detect_delimiter(lines: list[str]) -> str:
@@ -66,25 +73,55 @@ def detect_delimiter(lines: list[str]) -> str:
         return "|" if "|" in sample else ","
 
 
-def peek_columns(spark: SparkSession, path: str) -> list[str]:
-    """Header names of one file."""
-    lines = first_lines(spark, path)
-    return next(csv.reader(lines[:1], delimiter=detect_delimiter(lines)), [])
+@dataclass(frozen=True)
+class Layout:
+    """A delimiter and header, and the files that have them."""
+
+    sep: str
+    columns: tuple[str, ...]
+    line: str
+
 
+def layout_of(line: str) -> Layout:
+    sep = detect_delimiter([line])
+    return Layout(sep, tuple(c.strip() for c in next(csv.reader([line], delimiter=sep), [])), line)
 
-def read_csv(spark: SparkSession, paths: list[str], sep: str | None = None, columns: list[str] | None = None) -> DataFrame:
-    """All files as text columns, with ``source_file`` naming the file of a row.
 
-    Layout and delimiter are those of the first file; a file with another header
-    fails instead of being read into the wrong columns.
+def layouts(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """One row per file with its ``sep`` and ``columns``; the distinct header lines, few, are parsed on the driver."""
+    firsts = first_lines(spark, paths)
+    parsed = [layout_of(r["line"]) for r in firsts.select("line").distinct().collect()]
+    rows = spark.createDataFrame([(x.line, x.sep, list(x.columns)) for x in parsed], "line string, sep string, columns array<string>")
+    return firsts.join(rows, "line").select("source_file", "sep", "columns")
+
+
+def read_layouts(spark: SparkSession, paths: list[str]) -> list[tuple[DataFrame, list[str]]]:
+    """The files as text columns with ``source_file``: a frame per layout and the files it reads.
+
+    Every layout is read by its own delimiter and header, and checked against the
+    header of each of its files.
     """
     if not paths:
         raise FileNotFoundError("no CSV files to read")
-    reader = spark.read.option("header", True).option("enforceSchema", False)
-    reader = reader.option("sep", sep or detect_delimiter(first_lines(spark, paths[0])))
-    df = reader.csv(paths)
-    df = df.select("*", F.col("_metadata.file_path").alias("source_file"))
-    df = df.toDF(*[c.removeprefix(BOM).strip() for c in df.columns])
+    by_layout: dict[tuple, list[str]] = {}
+    for row in layouts(spark, paths).orderBy("source_file").toLocalIterator():
+        by_layout.setdefault((row["sep"], tuple(row["columns"])), []).append(row["source_file"])
+    frames = []
+    for (sep, _), files in by_layout.items():
+        df = spark.read.option("header", True).option("enforceSchema", False).option("sep", sep).csv(files)
+        df = df.select("*", F.col("_metadata.file_path").alias("source_file"))
+        frames.append((df.toDF(*[c.removeprefix(BOM).strip() for c in df.columns]), files))
+    return frames
+
+
+def read_csv(spark: SparkSession, paths: list[str], columns: list[str] | None = None) -> DataFrame:
+    """All files as text columns, read by name, with ``source_file`` naming the file of a row.
+
+    Files may differ in delimiter, order of columns and columns; one that a file
+    lacks is NULL. Files without a first line have no rows.
+    """
+    frames = read_layouts(spark, paths)
+    df = concat([frame for frame, _ in frames]) if frames else spark.createDataFrame([], "source_file string")
     return df.select(*columns, "source_file") if columns else df
 
 

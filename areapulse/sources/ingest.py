@@ -1,7 +1,8 @@
-"""Incremental batch ingest of raw files into delta folders with a commit log.
+"""Incremental ingest of raw files, in batches or from a stream, into delta folders with a commit log.
 
 Each run reads only files the log does not know by (source, path, mtime, size).
-It writes its fact rows to a folder of its own and appends to the log last, so a
+They are parsed once, by the layout of each file, into a columnar copy that the
+fact rows and places are made from. A run writes its fact rows to a folder of its own and appends to the log last, so a
 run that dies half-way leaves rows that nobody reads. The state of the fact
 tables is the sum over the committed rows; because those keep the file they came
 from, a changed file can either add to or replace its earlier version.
@@ -20,7 +21,8 @@ from areapulse.operators.normalize import NORMALISERS
 from areapulse.schemas import (
     ACTIVITY_KEY, DEMOGRAPHICS_KEY, DIM_SPATIAL, GOLD_ACTIVITY, GOLD_DEMOGRAPHICS, INGEST_LOG, MEASURES,
 )
-from areapulse.sources.files import list_files, read_csv
+from areapulse.session import stage
+from areapulse.sources.files import concat, list_files, read_layouts
 from areapulse.sources.upserts import fill_spatial
 
 FILE_KEY = ["source", "path", "mtime", "size"]
@@ -52,17 +54,49 @@ class IngestStore:
 
     def ingest(self, source: str, directories: list[str], pattern: str | None = None, granularity: str = "month") -> int:
         """Normalise the new files of a source and commit them; the number of files."""
-        files = self.new_files(source, directories, pattern or FILE_PATTERNS[source]).collect()
-        if not files:
+        return self.commit(source, self.new_files(source, directories, pattern or FILE_PATTERNS[source]), granularity)
+
+    def commit(self, source: str, files: DataFrame, granularity: str = "month") -> int:
+        """Normalise the listed files, append them to the log last, and return how many these are.
+
+        Files without a header, or whose columns the source does not know, are
+        left out and stay new; ``unreadable`` names them.
+        """
+        listed = stage(self.spark, files, "new_files")
+        # Spark's reader takes its paths from the driver
+        paths = sorted(r["read_path"] for r in listed.select("read_path").toLocalIterator())
+        found = read_layouts(self.spark, paths) if paths else []
+        frames = [(df, names) for df, names in found if not self._fault(source, df, granularity)]
+        if not frames:
             return 0
+        raw = stage(self.spark, concat([df for df, _ in frames]), f"raw_{source}")
         batch_id = f"{source}-{uuid.uuid4().hex}"
-        raw = read_csv(self.spark, sorted(f["read_path"] for f in files))
         self.write_delta(batch_id, NORMALISERS[source](raw, granularity, ("source_file",)))
-        entries = self.spark.createDataFrame(
-            [tuple(f[c] for c in FILE_KEY) for f in files], "source string, path string, mtime bigint, size bigint"
-        ).withColumns({"batch_id": F.lit(batch_id), "ingested_at": F.current_timestamp()})
-        entries.coalesce(1).write.mode("append").parquet(f"{self.root}/log")
-        return len(files)
+        read = self.spark.createDataFrame([(name,) for _, names in frames for name in names], "source_file string")
+        entries = listed.join(read, listed["path"] == read["source_file"], "left_semi").select(*FILE_KEY)
+        entries = stage(self.spark, entries.withColumns({"batch_id": F.lit(batch_id), "ingested_at": F.current_timestamp()}), "log_entries")
+        entries.write.mode("append").parquet(f"{self.root}/log")
+        return entries.count()
+
+    def unreadable(self, source: str, directories: list[str], pattern: str | None = None, granularity: str = "month") -> DataFrame:
+        """``path`` and ``reason`` of the new files that an ingest leaves out."""
+        listed = stage(self.spark, self.new_files(source, directories, pattern or FILE_PATTERNS[source]), "new_files")
+        paths = sorted(r["read_path"] for r in listed.select("read_path").toLocalIterator())
+        found = read_layouts(self.spark, paths) if paths else []
+        faults = [(name, self._fault(source, df, granularity)) for df, names in found for name in names]
+        known = self.spark.createDataFrame(faults, "path string, reason string")
+        return listed.select("path").join(known, "path", "left").select(
+            "path", F.when(F.col("reason").isNull(), "no header").otherwise(F.col("reason")).alias("reason")
+        ).where(F.col("reason") != "")
+
+    def _fault(self, source: str, df: DataFrame, granularity: str) -> str:
+        """Why the source cannot read a layout, from analysing its plan; empty if it can."""
+        try:
+            parts = NORMALISERS[source](df, granularity, ("source_file",))
+            assert parts.activity.columns
+        except AnalysisException as error:
+            return error.getCondition() or "unknown"
+        return ""
 
     def ingest_all(self, directories: list[str], granularity: str = "month") -> dict[str, int]:
         return {source: self.ingest(source, directories, granularity=granularity) for source in NORMALISERS}
@@ -127,7 +161,7 @@ class IngestStore:
         entries = self.log().select(*FILE_KEY).distinct().withColumns(
             {"batch_id": F.lit(batch_id), "ingested_at": F.current_timestamp()}
         )
-        entries.coalesce(1).write.mode("append").parquet(f"{self.root}/log")
+        entries.write.mode("append").parquet(f"{self.root}/log")
         return batch_id
 
     def merged_spatial(self, dim: DataFrame) -> DataFrame:

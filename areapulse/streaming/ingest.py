@@ -1,56 +1,46 @@
 """The same ingest as a file stream: every available file once, then stop.
 
-The checkpoint remembers the files read. A batch is written under its stream
-batch id, so a batch that is run again after a failure replaces its own rows
-instead of adding them twice.
+The stream carries the list of files, not their rows, so that each file is read by
+its own layout. A micro-batch goes through the store's commit: the log decides
+which of its files are new. A batch that runs again after a failure, a second
+stream, or a stream with a fresh checkpoint therefore neither repeats nor
+replaces what is already there. A file stream looks at a path once: a file that
+changed later is found by a batch ingest or by a stream with a fresh checkpoint.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
-from areapulse.operators.normalize import NORMALISERS
-from areapulse.schemas import ACTIVITY_KEY, MEASURES
-from areapulse.sources.files import BOM, detect_delimiter, first_lines
+from areapulse.sources.ingest import FILE_KEY, IngestStore
+
+LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def stream_files(
-    spark: SparkSession, source: str, directory: str, pattern: str, sample: str, target: str, checkpoint: str,
-    files_per_batch: int = 1000,
+    store: IngestStore, source: str, directory: str, pattern: str, checkpoint: str, granularity: str = "month", files_per_batch: int = 1000,
 ):
-    """Start a run that appends the fact rows of new files and ends by itself.
-
-    ``sample`` is a file with the layout of the stream: a file stream needs its
-    schema before the first file arrives.
-    """
-    lines = first_lines(spark, sample)
-    sep = detect_delimiter(lines)
-    names = [name.removeprefix(BOM).strip() for name in lines[0].split(sep)]
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    raw = (
-        spark.readStream.schema(schema)
-        .option("header", True)
-        .option("sep", sep)
+    """Start a run that commits the new files of a directory to the store and ends by itself."""
+    listed = (
+        store.spark.readStream.format("binaryFile")
+        .schema(LISTING)
         .option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", files_per_batch)
-        .csv(directory)
+        .load(directory)
+        .select(
+            F.lit(source).alias("source"), F.col("_metadata.file_path").alias("path"),
+            F.unix_timestamp("_metadata.file_modification_time").alias("mtime"), F.col("_metadata.file_size").alias("size"),
+            F.col("path").alias("read_path"),
+        )
     )
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = NORMALISERS[source](batch)
-        rows.activity.write.mode("overwrite").parquet(f"{target}/activity/batch_id={source}-{batch_id}")
-        if rows.demographics is not None:
-            rows.demographics.write.mode("overwrite").parquet(f"{target}/demographics/batch_id={source}-{batch_id}")
+    def commit(batch: DataFrame, _: int) -> None:
+        known = store.log().select(*FILE_KEY)
+        store.commit(source, batch.join(known, FILE_KEY, "left_anti"), granularity)
 
     return (
-        raw.writeStream.foreachBatch(write_batch)
+        listed.writeStream.foreachBatch(commit)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
-
-
-def streamed_activity(spark: SparkSession, target: str) -> DataFrame:
-    """Fact table as the sum over all batches written so far."""
-    rows = spark.read.parquet(f"{target}/activity")
-    return rows.groupBy(*ACTIVITY_KEY).agg(*[F.sum(m).alias(m) for m in MEASURES])

@@ -7,7 +7,7 @@ from areapulse.operators import normalize as norm
 from areapulse.schemas import GOLD_ACTIVITY
 from areapulse.sources import files, lake, upserts
 from areapulse.sources.ingest import IngestStore
-from areapulse.streaming.ingest import stream_files, streamed_activity
+from areapulse.streaming.ingest import stream_files
 
 D = dt.date
 TELCO = "CRTR_YM,DAY_CNT,VST_SGG_CD,ML_VST_PPLTN_1,FM_VST_PPLTN_1\n"
@@ -22,7 +22,7 @@ def put(folder, name, text, bom=False):
 def test_scan_skips_missing_folders_and_reads_bars_and_marks(spark, rows, tmp_path):
     folder = put(tmp_path / "in", "a.csv", TELCO.replace(",", "|") + "202401|1|11680|3|4\n", bom=True)
     paths = files.collect_files(spark, [folder, str(tmp_path / "absent")], ["*.csv"])
-    assert len(paths) == 1 and files.peek_columns(spark, paths[0])[0] == "CRTR_YM"
+    assert len(paths) == 1 and [r["columns"][0] for r in files.layouts(spark, paths).collect()] == ["CRTR_YM"]
     got = norm.telco(files.read_csv(spark, paths)).activity
     assert rows(got, "spatial_key", "date", "foot_traffic") == [("11680", D(2024, 1, 1), 7.0)]
     with pytest.raises(FileNotFoundError):
@@ -76,19 +76,36 @@ def test_rows_of_a_run_that_did_not_commit_are_not_read(spark, rows, tmp_path):
     assert rows(store.activity(), "foot_traffic") == [(7.0,)]
 
 
-def test_stream_reads_each_file_once(spark, rows, tmp_path):
+def test_files_of_any_layout_are_read_by_name_and_bad_ones_do_not_block(spark, rows, tmp_path):
     folder = put(tmp_path / "in", "a.csv", TELCO + "202401,1,11680,3,4\n")
-    sample = files.collect_files(spark, [folder], ["*.csv"])[0]
-    target, state = str(tmp_path / "target"), str(tmp_path / "state")
+    put(tmp_path / "in", "b.csv", TELCO.replace(",", "|") + "202401|1|11680|10|0\n", bom=True)
+    put(tmp_path / "in", "c.csv", "VST_SGG_CD,ML_VST_PPLTN_1,FM_VST_PPLTN_1,CRTR_YM,DAY_CNT\n11680,100,0,202401,1\n")
+    put(tmp_path / "in", "d.csv", "CRTR_YM,DAY_CNT,VST_SGG_CD,ML_VST_PPLTN_1,FM_VST_PPLTN_1,FM_VST_PPLTN_2\n202401,1,11680,0,0,1000\n")
+    put(tmp_path / "in", "e.csv", "nothing,of,this\n1,2,3\n")
+    put(tmp_path / "in", "f.csv", "")
+    store = IngestStore(spark, str(tmp_path / "store"))
+    assert rows(store.unreadable("telco", [folder], "*.csv").withColumn("path", F.substring_index("path", "/", -1)), "path")[:1] == [("e.csv",)]
+    assert store.ingest("telco", [folder], "*.csv") == 4
+    assert rows(store.activity(), "spatial_key", "foot_traffic") == [("11680", 1117.0)]
+    assert store.ingest("telco", [folder], "*.csv") == 0
+
+
+def test_stream_and_batches_share_the_log(spark, rows, tmp_path):
+    folder = put(tmp_path / "in", "a.csv", TELCO + "202401,1,11680,3,4\n")
+    store = IngestStore(spark, str(tmp_path / "store"))
 
-    def run():
-        stream_files(spark, "telco", folder, "*.csv", sample, target, state).awaitTermination()
-        return rows(streamed_activity(spark, target), "foot_traffic")
+    def run(state="state"):
+        stream_files(store, "telco", folder, "*.csv", str(tmp_path / state)).awaitTermination()
+        return rows(store.activity(), "foot_traffic")
 
-    assert run() == [(7.0,)]
-    assert run() == [(7.0,)]
-    put(tmp_path / "in", "b.csv", TELCO + "202401,1,11680,1,1\n")
+    assert run() == run() == run("fresh") == [(7.0,)]
+    put(tmp_path / "in", "b.csv", "VST_SGG_CD,FM_VST_PPLTN_1,ML_VST_PPLTN_1,CRTR_YM,DAY_CNT\n11680,1,1,202401,1\n")
     assert run() == [(9.0,)]
+    assert store.ingest("telco", [folder], "*.csv") == 0
+    assert rows(store.spatial(), "spatial_key", "spatial_label") == [("11680", "11680")]
+    put(tmp_path / "in", "b.csv", TELCO + "202401,1,11680,50,50\n")
+    assert run() == [(9.0,)] and run("changed") == [(109.0,)]
+    assert rows(store.activity(replace=True), "foot_traffic") == [(107.0,)]
 
 
 def test_sales_row_of_a_known_case(spark, rows):
