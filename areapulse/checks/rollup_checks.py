@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from areapulse.checks.registry import check
 from areapulse.checks.sqltext import (
-    ALL_VIEWS, DEMO_RANK, GOLD, TREND_NORM, _guarded, candidate, statement, trend_admin, trend_admin_repeated,
+    ALL_VIEWS, GOLD, GROUP_SHARES, LEADERS, TREND_NORM, YEAR_AGO, YEAR_ON_YEAR, candidate, statement, trend_admin,
+    trend_admin_repeated,
 )
 from areapulse.operators import candidates as cand, rollups
 from areapulse.session import new_folder, stage
@@ -35,16 +36,8 @@ for _id, _level in (("a4", "sig"), ("a5", "sido")):
         f"SELECT * FROM trend_{_level}", "spatial_label spatial_type date", SUMS, GOLD + "," + trend_admin_repeated(_level),
     ))(lambda spark, sf, level=_level: rollups.trend(gold(spark, sf), level, dedupe=False))
 
-YOY = f"""
-SELECT c.spatial_key, c.date, c.foot_traffic, p.foot_traffic AS foot_traffic_prev_year,
-       {_guarded('c.foot_traffic', 'p.foot_traffic')} AS foot_traffic_yoy,
-       c.sales, p.sales AS sales_prev_year, {_guarded('c.sales', 'p.sales')} AS sales_yoy
-FROM base c LEFT JOIN base p ON p.spatial_key = c.spatial_key AND p.date = c.date - INTERVAL 1 YEAR
-"""
-YOY_BASE = """, base AS (SELECT spatial_key, date, sum(foot_traffic) AS foot_traffic, sum(sales) AS sales
-FROM gold_activity WHERE granularity = 'month' GROUP BY 1, 2)"""
 YOY_VALUES = "foot_traffic foot_traffic_prev_year foot_traffic_yoy sales sales_prev_year sales_yoy"
-check("a6_year_on_year", statement(YOY, "spatial_key date", YOY_VALUES, GOLD + YOY_BASE))(
+check("a6_year_on_year", statement(YEAR_ON_YEAR, "spatial_key date", YOY_VALUES, GOLD + "," + YEAR_AGO))(
     lambda spark, sf: rollups.year_on_year(gold(spark, sf).activity))
 
 check("a7_top_spatial", statement(
@@ -52,16 +45,7 @@ check("a7_top_spatial", statement(
     "WHERE granularity = 'month' GROUP BY 1, 2", "date spatial_key", "foot_traffic sales",
 ))(lambda spark, sf: rollups.top_spatial(gold(spark, sf).activity))
 
-SHARE = """
-SELECT d.spatial_key, d.date, d.source, d.sex, d.age_group, d.value,
-       CASE WHEN t.total_value = 0 THEN NULL ELSE d.value / t.total_value END AS share
-FROM gold_demographics d
-JOIN (SELECT spatial_key, date, source, sum(value) AS total_value FROM gold_demographics
-      WHERE granularity = 'month' GROUP BY 1, 2, 3) t
-  ON t.spatial_key = d.spatial_key AND t.date = d.date AND t.source = d.source
-WHERE d.granularity = 'month'
-"""
-check("a8_demographic_share", statement(SHARE, "spatial_key date source sex age_group", "value share"))(
+check("a8_demographic_share", statement(GROUP_SHARES, "spatial_key date source sex age_group", "value share"))(
     lambda spark, sf: rollups.demographic_share(gold(spark, sf).demographics))
 
 check("j1_names_by_dim", statement(
@@ -85,22 +69,19 @@ check("j2_names_by_admin", statement(
 ).select("spatial_key", "date", "source", "spatial_label", "foot_traffic", "sales"))
 
 check("j3_year_ago_pairs", statement(
-    "SELECT c.spatial_key, c.date, p.date AS previous_date FROM base c JOIN base p "
-    "ON p.spatial_key = c.spatial_key AND p.date = c.date - INTERVAL 1 YEAR", "spatial_key date previous_date", "",
-    GOLD + YOY_BASE,
+    "SELECT spatial_key, date, CAST(date - INTERVAL 1 YEAR AS DATE) AS previous_date FROM year_ago WHERE months_back > 0",
+    "spatial_key date previous_date", "", GOLD + "," + YEAR_AGO,
 ))(lambda spark, sf: rollups.year_on_year(gold(spark, sf).activity).where(
     F.col("foot_traffic_prev_year").isNotNull() | F.col("sales_prev_year").isNotNull()
 ).select("spatial_key", "date", F.add_months("date", -12).alias("previous_date")))
 
-check("j4_group_totals", statement(SHARE.replace(
-    "CASE WHEN t.total_value = 0 THEN NULL ELSE d.value / t.total_value END AS share", "t.total_value"
-), "spatial_key date source sex age_group", "value total_value"))(
-    lambda spark, sf: rollups.demographic_share(gold(spark, sf).demographics).select(
-        "spatial_key", "date", "source", "sex", "age_group", "value", (F.col("value") / F.col("share")).alias("total_value")))
+check("j4_group_totals", statement(GROUP_SHARES, "spatial_key date source sex age_group", "value total_value"))(
+    lambda spark, sf: rollups.group_totals(gold(spark, sf).demographics).select(
+        "spatial_key", "date", "source", "sex", "age_group", "value", "total_value"))
 
 # Series, ranks and leaders -------------------------------------------------------------------
 
-NORM = ",".join([GOLD, TREND_NORM, DEMO_RANK, candidate("norm")])
+NORM = ",".join([GOLD, TREND_NORM, LEADERS, candidate("norm")])
 BASE = ["spatial_label", "date", "foot_traffic", "sales"]
 
 
@@ -135,12 +116,11 @@ def _ranks(rows):
 
 
 check("w6_dominant_group", statement(
-    "SELECT spatial_label, date, sex || '_' || age_group AS dominant_group, value / nullif(total_value, 0) AS dominant_share "
-    "FROM demo_rank WHERE rn = 1", "spatial_label date dominant_group", "dominant_share", NORM,
+    "SELECT * FROM label_leaders", "spatial_label date dominant_group", "dominant_share", NORM,
 ))(lambda spark, sf: cand.dominant_groups(gold(spark, sf).demographics, gold(spark, sf).dim))
 
 check("a18_demographic_base", statement(
-    "SELECT * FROM demo_base", "spatial_label date sex age_group", "value", NORM,
+    "SELECT * FROM label_groups", "spatial_label date sex age_group", "value", NORM,
 ))(lambda spark, sf: cand.demographic_base(gold(spark, sf).demographics, gold(spark, sf).dim))
 
 check("j5_leader_join", statement(

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from areapulse.checks.registry import check
-from areapulse.checks.sqltext import ALL_VIEWS, GOLD, TREND_NORM, _guarded, statement, trend_admin
+from areapulse.checks.sqltext import ALL_VIEWS, GOLD, TREND_NORM, YEAR_AGO, YEAR_ON_YEAR, change, statement, trend_admin
 from areapulse.functions.periods import period_range, single_period
 from areapulse.operators import candidates as cand, profile, rollups
 from areapulse.plans import payloads, tools
@@ -104,8 +104,8 @@ GLOBAL = f"""series AS (SELECT 'total' AS level, *, lag(foot_traffic) OVER w AS
   avg(foot_traffic) OVER () AS ft_avg, avg(sales) OVER () AS sales_avg,
   stddev_samp(foot_traffic) OVER () AS ft_std, stddev_samp(sales) OVER () AS sales_std
   FROM totals WINDOW w AS (ORDER BY date)),
-global_series AS (SELECT *, {_guarded('foot_traffic', 'ft_prev')} AS ft_mom_pct, {_guarded('sales', 'sales_prev')} AS sales_mom_pct,
-  {_guarded('foot_traffic', 'ft_prev_year')} AS ft_yoy_pct, {_guarded('sales', 'sales_prev_year')} AS sales_yoy_pct,
+global_series AS (SELECT *, {change('foot_traffic', 'ft_prev')} AS ft_mom_pct, {change('sales', 'sales_prev')} AS sales_mom_pct,
+  {change('foot_traffic', 'ft_prev_year')} AS ft_yoy_pct, {change('sales', 'sales_prev_year')} AS sales_yoy_pct,
   (foot_traffic - ft_avg) / nullif(ft_std, 0) AS ft_zscore, (sales - sales_avg) / nullif(sales_std, 0) AS sales_zscore,
   CAST(NULL AS VARCHAR) AS dominant_group FROM series)"""
 GLOBAL_VIEWS = ",".join([GOLD, TOTALS, GLOBAL])
@@ -124,7 +124,7 @@ check("k1_rankings", statement(
 check("r2_rankings_of_year", statement(
     "SELECT spatial_label, date, 'foot_traffic' AS metric, foot_traffic AS value FROM trend_sig "
     "WHERE date = (SELECT max(date) FROM gold_activity WHERE year(date) = 1999) "
-    "ORDER BY foot_traffic DESC NULLS LAST, spatial_label LIMIT 100", "spatial_label date metric", "value", SIG,
+    "ORDER BY foot_traffic DESC NULLS LAST, spatial_label LIMIT 500", "spatial_label date metric", "value", SIG,
 ))(lambda spark, sf: tools.rankings(gold(spark, sf), "activity_volume", "1999", 500, "sig"))
 
 check("k2_latest_row", statement(
@@ -183,13 +183,8 @@ RANGE = "date >= DATE '1997-01-01' AND date <= DATE '1999-12-31'"
 check("r6_series_trend", statement(f"SELECT * FROM trend_sig WHERE {RANGE}", "spatial_label spatial_type date", "foot_traffic sales sales_count", SIG))(
     lambda spark, sf: tools.time_series(gold(spark, sf), "trend", "sig", start="1997", end="1999"))
 check("r6_series_yoy", statement(
-    f"""SELECT c.spatial_key, c.date, c.foot_traffic, p.foot_traffic AS foot_traffic_prev_year,
-      {_guarded('c.foot_traffic', 'p.foot_traffic')} AS foot_traffic_yoy, c.sales, p.sales AS sales_prev_year,
-      {_guarded('c.sales', 'p.sales')} AS sales_yoy
-    FROM m c LEFT JOIN m p ON p.spatial_key = c.spatial_key AND p.date = c.date - INTERVAL 1 YEAR
-    WHERE c.{RANGE.replace('AND date', 'AND c.date')}""",
-    "spatial_key date", "foot_traffic foot_traffic_prev_year foot_traffic_yoy sales sales_prev_year sales_yoy",
-    GOLD + ", m AS (SELECT spatial_key, date, sum(foot_traffic) AS foot_traffic, sum(sales) AS sales FROM gold_activity GROUP BY 1, 2)",
+    f"SELECT * FROM ({YEAR_ON_YEAR}) WHERE {RANGE}",
+    "spatial_key date", "foot_traffic foot_traffic_prev_year foot_traffic_yoy sales sales_prev_year sales_yoy", GOLD + "," + YEAR_AGO,
 ))(lambda spark, sf: tools.time_series(gold(spark, sf), "yoy", start="1997", end="1999"))
 check("r6_series_demographics", statement(
     f"""SELECT d.spatial_key, d.date, d.source, d.sex, d.age_group, d.value, d.value / nullif(t, 0) AS share

@@ -57,17 +57,19 @@ def year_on_year(activity: DataFrame) -> DataFrame:
     )
 
 
-def demographic_share(demographics: DataFrame) -> DataFrame:
-    """Share of each sex and age group in its (key, month, source) total.
+def group_totals(demographics: DataFrame) -> DataFrame:
+    """Each value with the total of its (key, month, source).
 
     The window holds one row per sex and age group, so it stays small however
     many records a place has.
     """
     total = F.sum("value").over(Window.partitionBy("spatial_key", "date", "source"))
-    return monthly(demographics).select(
-        "spatial_key", "date", "source", "sex", "age_group", "value",
-        ratio(F.col("value"), total).alias("share"),
-    )
+    return monthly(demographics).select("spatial_key", "date", "source", "sex", "age_group", "value", total.alias("total_value"))
+
+
+def demographic_share(demographics: DataFrame) -> DataFrame:
+    """Share of each sex and age group in its (key, month, source) total."""
+    return group_totals(demographics).withColumn("share", ratio(F.col("value"), F.col("total_value"))).drop("total_value")
 
 
 def named_by_dim(facts: DataFrame, dim: DataFrame, dedupe: bool = True) -> DataFrame:
