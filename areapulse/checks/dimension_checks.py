@@ -87,6 +87,36 @@ def boxes(spark, sf):
         F.format_string("%010d", F.col("n_nationkey") + 500).alias("code"), F.concat(F.lit("unit "), "n_name").alias("name"), ring.alias("ring"))
 
 
+# Outer box, a hole in it, and an island beside it.
+PARTS = [[(0.0, 0.0), (4.0, 0.0), (4.0, 6.0), (0.0, 6.0)], [(1.0, 1.0), (3.0, 1.0), (3.0, 4.0), (1.0, 4.0)], [(5.0, 7.0), (9.0, 7.0), (9.0, 9.5), (5.0, 9.5)]]
+
+
+def parted(spark, sf):
+    move = F.col("r_regionkey") * 0.3
+    rings = F.array(*[F.array(*[F.struct((move + x).alias("x"), (move + y).alias("y")) for x, y in ring]) for ring in PARTS])
+    return table(spark, sf, "region").select(F.col("r_regionkey").cast("string").alias("code"), F.col("r_name").alias("name"), rings.alias("rings"))
+
+
+PARTED = """(x > m AND x < m + 4 AND y > m AND y < m + 6 AND NOT (x >= m + 1 AND x <= m + 3 AND y >= m + 1 AND y <= m + 4))
+  OR (x > m + 5 AND x < m + 9 AND y > m + 7 AND y < m + 9.5)"""
+check("j9_multipart", f"""SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS line, CAST(r_regionkey AS VARCHAR) AS polygon_code, count(*) AS n
+  FROM (SELECT l_orderkey, l_linenumber, l_extendedprice / 10000 + 0.00007 AS x, l_quantity / 5 + 0.00003 AS y FROM lineitem)
+  JOIN (SELECT r_regionkey, r_regionkey * CAST(0.3 AS DOUBLE) AS m FROM region) ON {PARTED} GROUP BY 1, 2""")(
+    lambda spark, sf: spatial.points_in_polygons(
+        table(spark, sf, "lineitem").select(
+            F.concat_ws("-", "l_orderkey", "l_linenumber").alias("line"),
+            (F.col("l_extendedprice") / 10000 + 0.00007).alias("x"), (F.col("l_quantity") / 5 + 0.00003).alias("y")),
+        parted(spark, sf), "line", "x", "y").groupBy("line", "polygon_code").agg(F.count(F.lit(1)).alias("n")))
+
+check("g4_multipart", statement(
+    f"""SELECT spatial_key, coalesce(code2, code) AS code, CASE WHEN code2 IS NULL THEN spatial_type ELSE 'emd' END AS spatial_type FROM
+      (SELECT d.*, (SELECT min(CAST(r_regionkey AS VARCHAR)) FROM (SELECT r_regionkey, r_regionkey * CAST(0.3 AS DOUBLE) AS m FROM region)
+         WHERE {PARTED.replace('x ', '(d.lon - 126.003) ').replace('y ', '(d.lat - 33.003) ')}) AS code2 FROM dim_spatial d)""",
+    "spatial_key code spatial_type"))(
+    lambda spark, sf: spatial.assign_units(
+        gold(spark, sf).dim.withColumns({"lon": F.col("lon") - 126.003, "lat": F.col("lat") - 33.003}), parted(spark, sf),
+    ).select("spatial_key", "code", "spatial_type"))
+
 check("g4_assign_units", statement(
     """SELECT spatial_key, CASE WHEN hit THEN 'unit ' || n_name ELSE spatial_label END AS spatial_label,
       CASE WHEN hit THEN 'emd' ELSE spatial_type END AS spatial_type,
@@ -109,7 +139,7 @@ check("g5_backfill", statement(
         gold(spark, sf).dim.select(
             "spatial_key", F.coalesce(F.substring("code", 1, 5), F.concat(F.lit("99"), F.substring("spatial_key", 1, 3))).alias("sig_cd"),
             F.concat(F.lit("K "), "spatial_label").alias("sig_kor_nm"), F.lit("PROV x").alias("full_nm")),
-        gold(spark, sf).admin_sig, 1_000_000).select(*HIERARCHY.split()))
+        gold(spark, sf).admin_sig).select(*HIERARCHY.split()))
 
 # Vectors -------------------------------------------------------------------------------------
 

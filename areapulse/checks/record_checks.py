@@ -97,10 +97,10 @@ metrics AS (SELECT source, spatial_key, time_key, d, current, baseline, CASE sou
     (current - baseline) / nullif(baseline, 0) AS uplift, (current - previous) / nullif(previous, 0) AS rate_of_change,
     CASE WHEN points >= 2 THEN spread / nullif(mean, 0) END AS volatility FROM windows),
 impact AS (SELECT spatial_key, time_key, avg(uplift) AS impact_score, count(uplift) AS impact_sources FROM metrics GROUP BY 1, 2),
-placed AS (SELECT *, CAST(row_number() OVER (PARTITION BY spatial_key ORDER BY d) AS DOUBLE) AS x FROM buckets),
+placed AS (SELECT *, CAST(row_number() OVER (PARTITION BY spatial_key, sales IS NULL ORDER BY d) AS DOUBLE) AS x FROM buckets),
 slopes AS (SELECT *, CASE WHEN count(*) OVER w >= 2 THEN regr_slope(sales, x) OVER w END AS slope,
     greatest(1e-6, abs(avg(sales) OVER w) * 0.01) AS lim
-  FROM placed WINDOW w AS (PARTITION BY spatial_key ORDER BY d ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)),
+  FROM placed WINDOW w AS (PARTITION BY spatial_key, sales IS NULL ORDER BY d ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)),
 trends AS (SELECT *, CASE WHEN slope > lim THEN 'increase' WHEN slope < -lim THEN 'decrease' WHEN slope IS NOT NULL THEN 'stable' END AS direction
   FROM slopes),
 corrs AS (SELECT spatial_key, count(*) AS sample_size, CASE WHEN count(*) >= 3 AND count(DISTINCT foot_traffic) > 1 AND count(DISTINCT sales) > 1
@@ -222,7 +222,7 @@ def _elasticity(metrics):
 
 
 check("a22_bucket_summary", statement(
-    "SELECT b.*, coalesce(n, 0) AS lists FROM buckets b LEFT JOIN (SELECT spatial_key, time_key, least(count(*), 200) AS n FROM rec "
+    "SELECT b.*, coalesce(n, 0) AS lists FROM buckets b LEFT JOIN (SELECT spatial_key, time_key, count(*) AS n FROM rec "
     "WHERE source <> 'sales' GROUP BY 1, 2) l ON l.spatial_key = b.spatial_key AND l.time_key = b.time_key",
     "spatial_key time_key lists", "foot_traffic sales", RECORDS,
 ))(lambda spark, sf: insight.bucket_summary(normal_records(spark, sf)).select(
@@ -233,7 +233,7 @@ check("a23_source_labels", statement("SELECT source, count(*) AS n FROM buckets
         F.count(F.lit(1)).alias("n")))
 
 check("a24_leading_groups", statement("SELECT * FROM leaders", "spatial_key time_key dominant_group top_groups", "dominant_share", RECORDS))(
-    lambda spark, sf: insight.leading_groups(insight.listed_demographics(normal_records(spark, sf))).withColumn(
+    lambda spark, sf: insight.leading_groups(normal_records(spark, sf)).withColumn(
         "top_groups", F.array_join(F.transform("top_groups", lambda g: g["group"]), ",")))
 
 FULL = f"""SELECT b.spatial_key, b.time_key, b.source, b.foot_traffic, b.sales, t.direction, t.slope, c.sample_size, c.correlation,

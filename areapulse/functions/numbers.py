@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
-NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,2})?$"
+NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
 def parse_number(text: Column) -> Column:
@@ -16,7 +16,8 @@ def parse_number(text: Column) -> Column:
     exception per value, and it would let through ``NaN``, ``inf`` and ``1d``.
     """
     t = F.trim(text.cast("string"))
-    return F.when(t.rlike(NUMBER), t.try_cast("double"))
+    value = F.when(t.rlike(NUMBER), t.try_cast("double"))
+    return F.nullif(F.nullif(value, F.lit(float("inf"))), F.lit(float("-inf")))
 
 
 def to_number(text: Column) -> Column:

@@ -11,13 +11,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BUCKETS = 64
+LEAST_BUCKETS = 16
 
 
 def value_positions(
-    df: DataFrame, groups: list[str], value: str, descending: bool = False, buckets: int = BUCKETS
+    df: DataFrame, groups: list[str], value: str, descending: bool = False, buckets: int | None = None
 ) -> DataFrame:
-    """One row per (group, non-null value): ``copies`` and rows ``before`` it."""
+    """One row per (group, non-null value): ``copies`` and rows ``before`` it.
+
+    A group is cut into ``buckets`` ranges, by default one for each shuffle partition.
+    """
+    if buckets is None:
+        buckets = max(LEAST_BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     counts = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("copies"))
     steps = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     cuts = counts.groupBy(*groups).agg(F.percentile_approx(value, steps, 10 * buckets).alias("_cuts"))

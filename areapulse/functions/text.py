@@ -164,7 +164,7 @@ def region_name(value: Column) -> Column:
     """District code or name to the common district name."""
     text = F.trim(value.cast("string"))
     whole = text.rlike(r"^[+-]?\d+(\.0*)?$")
-    code = F.when(whole, parse_number(text).cast("decimal(38,0)").cast("string"))
+    code = F.when(whole, text.try_cast("decimal(38,0)").cast("string"))
     name = F.trim(F.replace(text, F.lit("서울")))
     full = F.when(name.rlike("(구|시|군)$"), name).otherwise(F.concat(name, F.lit("구")))
     return F.when(whole, F.coalesce(lookup(DISTRICT_NAMES, code), code)).otherwise(full)

@@ -19,17 +19,17 @@ COLUMNS = [
     "ft_avg_date", "sales_avg_date", "ft_rank", "sales_rank",
     "dominant_group", "dominant_share",
 ]
-# A date with more labels than this is ranked without gathering it in one window.
-WINDOW_ROWS = 1_000_000
 SHORT = {"foot_traffic": "ft", "sales": "sales"}
 
 
 def lags(series: DataFrame, keys: list[str], steps: int, suffix: str, pct: str) -> DataFrame:
     """Value ``steps`` rows earlier in the series of ``keys``, and the change since.
 
-    A row offset, not a calendar offset: a missing month shifts it.
+    A row offset, not a calendar offset: a missing month shifts it. Rows of one
+    date are in order of their type.
     """
-    order = Window.partitionBy(*keys).orderBy("date")
+    ties = ["spatial_type"] if "spatial_type" in series.columns else []
+    order = Window.partitionBy(*keys).orderBy("date", *ties)
     before = {f"{s}_{suffix}": F.lag(c, steps).over(order) for c, s in SHORT.items()}
     rates = {f"{s}_{pct}": change(F.col(c), F.col(f"{s}_{suffix}")) for c, s in SHORT.items()}
     return series.withColumns(before).withColumns(rates)
@@ -65,18 +65,8 @@ def with_date_averages(base: DataFrame) -> DataFrame:
     return base.join(date_averages(base), "date").drop("_ft_known", "_sales_known")
 
 
-def date_windows(rows: DataFrame) -> DataFrame:
-    """Mean and rank of both measures per date, with all its labels in one window."""
-    whole = Window.partitionBy("date")
-    columns = {}
-    for column, short in SHORT.items():
-        columns[f"{short}_avg_date"] = F.avg(column).over(whole)
-        columns[f"{short}_rank"] = F.rank().over(whole.orderBy(F.col(column).desc_nulls_last())).cast("long")
-    return rows.withColumns(columns)
-
-
 def with_date_columns(rows: DataFrame, base: DataFrame) -> DataFrame:
-    """As :func:`date_windows` for dates with too many labels for one window.
+    """Mean and rank of both measures per date, without gathering a date in one window.
 
     Means and counts are aggregates, and ranks are positions in the value counts
     of the date (see :mod:`areapulse.functions.ordering`). Missing values share
@@ -137,17 +127,14 @@ def dominant_groups(demographics: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def candidates(gold, level: str, dedupe: bool | None = None) -> DataFrame:
-    """The 24 candidate columns at ``norm``, ``sig`` or ``sido``."""
-    if level not in LEVELS:
-        raise ValueError("level must be one of: norm, sig, sido")
-    base = trend(gold, level, dedupe).select("spatial_label", "date", "foot_traffic", "sales")
-    if gold.keys_per_date <= WINDOW_ROWS:
-        rows = date_windows(series_columns(base))
-    else:
-        # Ranks, means and series all start from the roll-up, so it is computed once.
-        base = stage(base.sparkSession, base, f"trend_{level}", ("date",))
-        rows = with_date_columns(series_columns(base), base)
-    if level == "norm":
+    """The 24 candidate columns at ``norm``, ``emd`` (units only), ``sig`` or ``sido``."""
+    if level not in (*LEVELS, "emd"):
+        raise ValueError("level must be one of: norm, emd, sig, sido")
+    # Ranks, means and series all start from the roll-up, so it is computed once.
+    base = trend(gold, level, dedupe).select("spatial_label", "spatial_type", "date", "foot_traffic", "sales")
+    base = stage(base.sparkSession, base, f"trend_{level}", ("date",))
+    rows = with_date_columns(series_columns(base), base)
+    if level in ("norm", "emd"):
         rows = rows.join(dominant_groups(gold.demographics, gold.dim), ["spatial_label", "date"], "left")
     else:
         rows = rows.withColumns({

@@ -76,14 +76,15 @@ def full_labels(dim: DataFrame) -> DataFrame:
     return dim.withColumn("spatial_label", F.when(known, full).otherwise(F.col("spatial_label")))
 
 
-def backfill_targets(dim: DataFrame, limit: int = 5000) -> DataFrame:
-    """The next places with coordinates and no district or province, in key order."""
+def backfill_targets(dim: DataFrame, limit: int | None = None) -> DataFrame:
+    """The places with coordinates and no district or province; with ``limit``, the first by key."""
     missing = F.col("sig_name").isNull() | F.col("sido_name").isNull()
     placed = F.col("lat").isNotNull() & F.col("lon").isNotNull()
-    return dim.where(placed & missing).orderBy("spatial_key").limit(limit).select("spatial_key", "lat", "lon")
+    targets = dim.where(placed & missing).select("spatial_key", "lat", "lon")
+    return targets if limit is None else targets.orderBy("spatial_key").limit(limit)
 
 
-def backfill(dim: DataFrame, geocoded: DataFrame, admin_sig: DataFrame, limit: int = 5000) -> DataFrame:
+def backfill(dim: DataFrame, geocoded: DataFrame, admin_sig: DataFrame, limit: int | None = None) -> DataFrame:
     """Fill places from a table of geocoding answers (spatial_key, sig_cd, sig_kor_nm, full_nm).
 
     Names of the administrative table win over the answer, and both over the

@@ -9,8 +9,6 @@ from areapulse.operators.records import fuse, normalise, source_label
 from areapulse.operators.series import domain_metrics, trend
 
 BUCKET = ["spatial_key", "time_key"]
-# The reported demographic lists hold at most this many records per bucket.
-MAX_DEMOGRAPHICS = 200
 TOP_GROUPS = 5
 
 
@@ -69,54 +67,48 @@ def place_correlation(buckets: DataFrame) -> DataFrame:
     ).withColumn("interpretation", correlation_strength(F.col("correlation")))
 
 
-def listed_demographics(records: DataFrame) -> DataFrame:
-    """The demographic maps a bucket reports, at most 200 of them.
-
-    The limit is part of the report. Filtering on the row number lets Spark drop
-    rows beyond it before the shuffle, so a crowded bucket stays small.
-    """
-    order = Window.partitionBy(*BUCKET).orderBy(
-        "source", F.to_json("population.demographics"), "population.foot_traffic", "economic.sales"
-    )
+def group_values(records: DataFrame) -> DataFrame:
+    """Sum of each demographic group per bucket, over all records; added up in tasks before the shuffle."""
     return (
-        records.where(F.size("population.demographics") > 0)
-        .withColumn("_place", F.row_number().over(order))
-        .where(F.col("_place") <= MAX_DEMOGRAPHICS)
-        .select(*BUCKET, F.col("population.demographics").alias("demographics"), "_place")
+        records.select(*BUCKET, F.explode("population.demographics").alias("group", "value"))
+        .groupBy(*BUCKET, "group")
+        .agg(F.sum("value").alias("value"))
     )
 
 
-def group_values(demographics: DataFrame) -> DataFrame:
-    """Sum of each demographic group per bucket."""
-    return (
-        demographics.select(*BUCKET, F.explode("demographics").alias("group", "value"))
-        .groupBy(*BUCKET, "group")
-        .agg(F.sum("value").alias("value"))
+def leading_groups(records: DataFrame, top: int = TOP_GROUPS) -> DataFrame:
+    """Dominant group, its share, and the ``top`` largest groups per bucket.
+
+    The total is an aggregate and only the leading rows are gathered: a row-number
+    filter drops the others before the shuffle, so a bucket may have any number
+    of groups.
+    """
+    values = group_values(records)
+    order = Window.partitionBy(*BUCKET).orderBy(F.col("value").desc_nulls_first(), "group")
+    leading = values.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= top)
+    lists = leading.groupBy(*BUCKET).agg(F.array_sort(F.collect_list(F.struct("_place", "group", "value"))).alias("_groups"))
+    totals = values.groupBy(*BUCKET).agg(F.sum("value").alias("_total"))
+    return lists.join(totals, BUCKET).select(
+        *BUCKET,
+        F.col("_groups")[0]["group"].alias("dominant_group"),
+        ratio(F.col("_groups")[0]["value"], F.col("_total")).alias("dominant_share"),
+        F.transform("_groups", lambda g: F.struct(g["group"].alias("group"), g["value"].alias("value"))).alias("top_groups"),
     )
 
 
-def leading_groups(demographics: DataFrame) -> DataFrame:
-    """Dominant group, its share, and the five largest groups per bucket."""
-    ordered = F.array_sort(F.collect_list(F.struct((-F.col("value")).alias("_order"), F.col("group"), F.col("value"))))
-    return (
-        group_values(demographics)
-        .groupBy(*BUCKET)
-        .agg(F.sum("value").alias("_total"), ordered.alias("_groups"))
-        .select(
-            *BUCKET,
-            F.col("_groups")[0]["group"].alias("dominant_group"),
-            ratio(F.col("_groups")[0]["value"], F.col("_total")).alias("dominant_share"),
-            F.transform(
-                F.slice("_groups", 1, TOP_GROUPS),
-                lambda g: F.struct(g["group"].alias("group"), g["value"].alias("value")),
-            ).alias("top_groups"),
-        )
+def listed_demographics(records: DataFrame, limit: int | None = None) -> DataFrame:
+    """The demographic maps of each record of a bucket in order; with ``limit``, the first of them. No measure reads this list."""
+    order = Window.partitionBy(*BUCKET).orderBy(
+        "source", F.to_json("population.demographics"), "population.foot_traffic", "economic.sales"
     )
+    rows = records.where(F.size("population.demographics") > 0).withColumn("_place", F.row_number().over(order))
+    kept = rows if limit is None else rows.where(F.col("_place") <= limit)
+    return kept.select(*BUCKET, F.col("population.demographics").alias("demographics"), "_place")
 
 
-def bucket_summary(records: DataFrame) -> DataFrame:
+def bucket_summary(records: DataFrame, limit: int | None = None) -> DataFrame:
     """Totals, sources and the listed demographics of each bucket."""
-    lists = listed_demographics(records).groupBy(*BUCKET).agg(
+    lists = listed_demographics(records, limit).groupBy(*BUCKET).agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("_place", F.map_entries("demographics").alias("_entries")))),
             lambda r: F.map_from_entries(r["_entries"]),
@@ -147,7 +139,10 @@ def two_places(value: Column) -> Column:
 
 
 def narrative() -> Column:
-    """One sentence from the structured fields."""
+    """One sentence from the structured fields.
+
+    Its words are fixed values: they are the report's wording.
+    """
     none = F.lit("None")
     first = F.try_element_at("metrics_summary", F.lit(1))
     parts = F.concat_ws(
@@ -175,7 +170,7 @@ def insights(records: DataFrame, metrics: DataFrame) -> DataFrame:
     rows = with_correlation(trend(fuse(records), "sales", ["spatial_key"], "time_key"))
     rows = (
         rows.join(highlights(metrics), BUCKET, "left")
-        .join(leading_groups(listed_demographics(records)), BUCKET, "left")
+        .join(leading_groups(records), BUCKET, "left")
     )
     return rows.withColumns({
         "source": source_label(F.col("sources")),

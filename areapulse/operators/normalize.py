@@ -105,7 +105,7 @@ def sales_rows(raw: DataFrame, granularity: str = "month", keep: Keep = ()) -> D
 def sales(raw: DataFrame, granularity: str = "month", keep: Keep = ()) -> Normalised:
     rows = sales_rows(raw, granularity, keep)
     if not prefixed(raw, *d.SALES["amounts"]):
-        rows = rows.limit(0)
+        rows = rows.where(F.lit(False))
     facts = total(rows, ["spatial_key", "date", *keep], "sales", "sales_count")
     return Normalised(as_activity(facts, "sales", granularity, keep), places_from_keys(facts))
 
@@ -151,7 +151,7 @@ def long_demographics(wide: DataFrame, keep: Keep = ()) -> DataFrame:
     columns = demographic_columns(wide)
     if not columns:
         none = {"sex": F.lit(""), "age_group": F.lit(""), "value": F.lit(0.0)}
-        return wide.withColumns(none).limit(0)
+        return wide.withColumns(none).where(F.lit(False))
     long = wide.unpivot(["spatial_key", "date", *keep], columns, "_column", "value")
     return long.select(
         "spatial_key", "date", *keep,
@@ -249,7 +249,7 @@ def city_cell(raw: DataFrame, granularity: str = "month", keep: Keep = ()) -> No
     hours = prefixed(raw, d.CITY_HOUR_PREFIX)
     rows = complete(_city_rows(raw, d.CITY_PLACE, granularity)).withColumn("foot_traffic", sum_columns(hours))
     if not hours:
-        rows = rows.limit(0)
+        rows = rows.where(F.lit(False))
     facts = total(rows, ["spatial_key", "date", *keep], "foot_traffic")
     spatial = places_from_cells(raw, clean(F.col(d.CITY_PLACE)), d.CITY_X, d.CITY_Y)
     return Normalised(as_activity(facts, d.CITY_SOURCES["pcell"], granularity, keep), spatial)

@@ -87,13 +87,13 @@ def sales_records(raw: DataFrame) -> DataFrame:
 
 def telco_records(raw: DataFrame) -> DataFrame:
     male, female = (sum_columns(prefixed(raw, d.TELCO[sex])) for sex in ("male", "female"))
-    month = F.lpad(parse_number(F.col(d.TELCO["time"])).cast("int").cast("string"), 6, "0")
+    month = F.lpad(parse_number(F.col(d.TELCO["time"])).try_cast("int").cast("string"), 6, "0")
     return build_records(
         raw, "telco",
         spatial_key=clean(F.col(d.TELCO["place"])),
         time_key=F.date_format(parse_date(month), "yyyy-MM"),
         population=population(male + female, F.create_map(F.lit("male"), male, F.lit("female"), female)),
-        behavior=F.struct(F.coalesce(parse_number(F.col(d.TELCO["day"])), F.lit(0)).cast("int").alias("day_index")),
+        behavior=F.struct(F.coalesce(parse_number(F.col(d.TELCO["day"])).try_cast("int"), F.lit(0)).alias("day_index")),
         events=F.array().cast("array<string>"),
     )
 

@@ -87,7 +87,8 @@ def tag_requests(requests: DataFrame, text: str = "text", prior: DataFrame | Non
     """Requests with their dates, place, sex, age, level, class, view and flags.
 
     ``prior`` holds mappings known from elsewhere by ``key``; its values win over
-    what the text says.
+    what the text says. Of several rows of a key, the smallest known value of
+    each field counts, so a request stays one row.
     """
     fields = ["qtype", "level", "spatial_label", "spatial_key", "date_start", "date_end", "view"]
     rows = requests
@@ -95,6 +96,7 @@ def tag_requests(requests: DataFrame, text: str = "text", prior: DataFrame | Non
         known = prior.select(key, *[
             (F.col(f) if f in prior.columns else F.lit(None)).cast("string").alias(f"_{f}") for f in fields
         ])
+        known = known.groupBy(key).agg(*[F.min(f"_{f}").alias(f"_{f}") for f in fields])
         rows = rows.join(known, key, "left")
     else:
         rows = rows.withColumns({f"_{f}": F.lit(None).cast("string") for f in fields})

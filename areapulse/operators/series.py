@@ -56,21 +56,22 @@ def trailing_mean(value: str, size: int, keys: list[str] = KEYS) -> Column:
 def dynamic_baseline(series: DataFrame, duration: str, value: str = "current", keys: list[str] = KEYS) -> DataFrame:
     """Mean of as many earlier values as the row's ``duration`` says.
 
-    A running total is looked up ``duration`` rows back, instead of a list of all
-    earlier values per row.
+    The earlier values are met one by one through their number in the series and
+    added up on their own: differences of running totals would lose digits in
+    long series of large values. The work is the sum of the durations.
     """
-    upto = in_time(keys).rowsBetween(Window.unboundedPreceding, -1)
-    placed = series.withColumns({
-        "_row": F.row_number().over(in_time(keys)),
-        "_before": F.coalesce(F.sum(value).over(upto), F.lit(0.0)),
-    })
-    earlier = placed.select(*keys, (F.col("_row")).alias("_from"), F.col("_before").alias("_start"))
-    looked_up = placed.withColumn("_from", F.col("_row") - F.col(duration)).join(earlier, [*keys, "_from"], "left")
-    mean = ratio(F.col("_before") - F.col("_start"), F.col(duration))
-    own = (F.col("_row") == 1) & (F.col(duration) == 1)
-    return looked_up.withColumn("baseline", F.when(own, F.col(value)).otherwise(mean)).drop(
-        "_row", "_before", "_from", "_start"
+    placed = series.withColumn("_row", F.row_number().over(in_time(keys)))
+    asked = placed.where((F.col(duration) > 0) & (F.col("_row") > F.col(duration))).select(
+        *keys, F.col("_row").alias("_for"), F.explode(F.sequence(F.col("_row") - F.col(duration), F.col("_row") - 1)).alias("_row")
     )
+    sums = asked.join(placed.select(*keys, "_row", F.col(value).alias("_earlier")), [*keys, "_row"]).groupBy(
+        *keys, F.col("_for").alias("_row")
+    ).agg(F.sum("_earlier").alias("_sum"))
+    own = (F.col("_row") == 1) & (F.col(duration) == 1)
+    mean = ratio(F.col("_sum"), F.col(duration))
+    return placed.join(sums, [*keys, "_row"], "left").withColumn(
+        "baseline", F.when(own, F.col(value)).otherwise(mean)
+    ).select(*series.columns, "baseline")
 
 
 def volatility(value: str, keys: list[str] = KEYS) -> Column:
@@ -108,9 +109,9 @@ def domain_metrics(records: DataFrame, config: dict = DOMAIN_CONFIG) -> DataFram
 
 
 def trend(rows: DataFrame, value: str, keys: list[str], time: str) -> DataFrame:
-    """Slope and direction over the latest three observations of each series."""
-    placed = rows.withColumn("_date", parse_date(F.col(time)))
-    order = Window.partitionBy(*keys).orderBy(F.col("_date").asc_nulls_first(), time)
+    """Slope and direction over the latest three known values of each series; NULL for an unknown one."""
+    placed = rows.withColumns({"_date": parse_date(F.col(time)), "_known": F.col(value).isNotNull()})
+    order = Window.partitionBy(*keys, "_known").orderBy(F.col("_date").asc_nulls_first(), time)
     latest = order.rowsBetween(1 - TREND_POINTS, 0)
     placed = placed.withColumn("_x", F.row_number().over(order).cast("double"))
     y, x = F.col(value), F.col("_x")
@@ -121,7 +122,7 @@ def trend(rows: DataFrame, value: str, keys: list[str], time: str) -> DataFrame:
         F.when(F.col("slope") > F.col("_limit"), "increase")
         .when(F.col("slope") < -F.col("_limit"), "decrease")
         .when(F.col("slope").isNotNull(), "stable"),
-    ).drop("_date", "_x", "_limit")
+    ).drop("_date", "_known", "_x", "_limit")
 
 
 def composition_shift(before: DataFrame, after: DataFrame, keys: list[str], value: str) -> DataFrame:

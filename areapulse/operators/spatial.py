@@ -9,10 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-CELL = 0.5
 
 
-def _cell(value: Column, size: float) -> Column:
+def _cell(value: Column, size: float | Column) -> Column:
     return F.floor(value / size)
 
 
@@ -25,7 +24,7 @@ def edges(ring: Column) -> Column:
 
 
 def inside(x: Column, y: Column, ring_edges: Column) -> Column:
-    """Whether a point lies inside a ring; points on the outline do not."""
+    """Whether a point lies inside rings, a hole's crossings cancelling its outer ring's; points on an outline do not."""
     def crosses(e: Column) -> Column:
         straddles = (e["y1"] > y) != (e["y2"] > y)
         at = F.try_divide((e["x2"] - e["x1"]) * (y - e["y1"]), e["y2"] - e["y1"]) + e["x1"]
@@ -41,25 +40,43 @@ def inside(x: Column, y: Column, ring_edges: Column) -> Column:
     return (count % 2 == 1) & ~F.exists(ring_edges, touches)
 
 
-def polygon_cells(polygons: DataFrame, size: float = CELL) -> DataFrame:
-    """Polygons (code, name, ring) once per grid cell of their bounding box."""
+def boxed_polygons(polygons: DataFrame) -> DataFrame:
+    """Edges and bounding box of polygons (code, name, and ``ring`` or ``rings``).
+
+    ``rings`` holds the outer rings of all parts and the holes, in any order.
+    """
+    rings = F.col("rings") if "rings" in polygons.columns else F.array("ring")
+    points = F.flatten(rings)
+
     def bound(axis: str, function) -> Column:
-        return function(F.transform("ring", lambda p: p[axis]))
+        return function(F.transform(points, lambda p: p[axis]))
 
-    boxed = polygons.select(
-        F.col("code").alias("polygon_code"), F.col("name").alias("polygon_name"), edges(F.col("ring")).alias("_edges"),
+    return polygons.select(
+        F.col("code").alias("polygon_code"), F.col("name").alias("polygon_name"), F.flatten(F.transform(rings, edges)).alias("_edges"),
         bound("x", F.array_min).alias("_x0"), bound("x", F.array_max).alias("_x1"),
         bound("y", F.array_min).alias("_y0"), bound("y", F.array_max).alias("_y1"),
     )
+
+
+def cell_size(polygons: DataFrame) -> Column:
+    """The mean extent of the polygons, so that one of usual size touches a few cells; a scalar subquery of the plan."""
+    extent = F.greatest(F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0"))
+    return boxed_polygons(polygons).agg(F.coalesce(F.nullif(F.avg(extent), F.lit(0.0)), F.lit(1.0)).alias("size")).scalar()
+
+
+def polygon_cells(polygons: DataFrame, size: float | Column) -> DataFrame:
+    """Polygons once per grid cell of their bounding box."""
+    boxed = boxed_polygons(polygons)
     columns = F.sequence(_cell(F.col("_x0"), size), _cell(F.col("_x1"), size))
     rows = F.sequence(_cell(F.col("_y0"), size), _cell(F.col("_y1"), size))
     return boxed.withColumn("_cx", F.explode(columns)).withColumn("_cy", F.explode(rows))
 
 
 def points_in_polygons(
-    points: DataFrame, polygons: DataFrame, key: str, x: str, y: str, size: float = CELL
+    points: DataFrame, polygons: DataFrame, key: str, x: str, y: str, size: float | None = None
 ) -> DataFrame:
-    """(key, polygon_code, polygon_name) for every point within a polygon."""
+    """(key, polygon_code, polygon_name) for every point within a polygon; cells of ``size``, by default the polygons' own."""
+    size = cell_size(polygons) if size is None else size
     placed = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
         key, F.col(x).alias("_x"), F.col(y).alias("_y"),
         _cell(F.col(x), size).alias("_cx"), _cell(F.col(y), size).alias("_cy"),
@@ -73,7 +90,7 @@ def points_in_polygons(
     )
 
 
-def assign_units(dim: DataFrame, polygons: DataFrame, size: float = CELL) -> DataFrame:
+def assign_units(dim: DataFrame, polygons: DataFrame, size: float | None = None) -> DataFrame:
     """Label, type and codes of places taken from the polygon they lie in.
 
     Where polygons overlap, the lowest code is taken.

@@ -5,9 +5,10 @@ triangle inequality a ring can only hold a match if its range of angles comes
 within the threshold angle of the query's own angle to that pivot; other rings
 are skipped without losing a match. What remains is compared block by block as a
 matrix product inside the tasks, which hand on at most ``k`` matches per query.
-Groups of equal keys up to ``block_rows`` are one block and need no pivots. Rings
-and query sets above it are split, so no task grows with a hot group. The pivots
-only steer the work: the result does not depend on them.
+Rings and query sets above ``block_rows`` are split, so no task grows with a hot
+group. The pivots only steer the work: the result does not depend on them. In
+many dimensions angles to a pivot are alike and few rings are skipped; the work
+is then that of comparing every query with every stored vector of its key.
 """
 
 from __future__ import annotations
@@ -20,17 +21,17 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from areapulse.session import stage
+
 # Executors get the task functions below with the job and need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-MAX_PIVOTS = 256
-RING = 0.05
+PIVOTS = 16
+RING = 0.2
 BLOCK_ROWS = 4096
 TOP_K = 5
 THRESHOLD = 0.92
 SLACK = 1e-6
-# Cell number of a group that is compared as a whole.
-WHOLE = -1
 
 
 def _unit(vectors: pd.Series) -> np.ndarray:
@@ -74,36 +75,32 @@ def nearest_stored(
     keys: list[str],
     k: int = TOP_K,
     threshold: float = THRESHOLD,
-    pivots: int | None = None,
+    pivots: int = PIVOTS,
     block_rows: int = BLOCK_ROWS,
+    ring_width: float = RING,
 ) -> DataFrame:
     """Top ``k`` stored vectors per query with cosine similarity of at least ``threshold``.
 
     Both frames have ``id`` (long), ``vector`` and the columns ``keys``, which must
     be equal for a match.
     """
-    sizes = stored.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    if pivots is None:
-        largest = sizes.agg(F.max("_size").alias("n")).first()["n"] or 0
-        pivots = max(1, min(MAX_PIVOTS, largest // (8 * block_rows)))
     # A bounded number of pivots, picked by hash so that the choice is repeatable.
     picked = stored.orderBy(F.xxhash64("id"), "id").limit(pivots).select("vector").toPandas()
     if picked.empty:
         return queries.select(
             F.col("id").alias("query_id"), F.col("id").alias("match_id"),
             F.lit(0.0).alias("similarity"), F.lit(0).alias("place"),
-        ).limit(0)
+        ).where(F.lit(False))
     angles = _pivot_angles(_unit(picked["vector"]))
     reach = math.acos(max(-1.0, min(1.0, threshold))) + SLACK
 
     nearest = F.array_min("_angles")
-    split = sizes.where(F.col("_size") > block_rows).select(*keys, F.lit(True).alias("_split"))
-    placed = stored.select("id", "vector", *keys, angles("vector").alias("_angles")).join(split, keys, "left").select(
+    placed = stage(stored.sparkSession, stored.select("id", "vector", *keys, angles("vector").alias("_angles")).select(
         "id", "vector", *keys,
-        F.when(F.col("_split"), F.array_position("_angles", nearest) - 1).otherwise(WHOLE).cast("int").alias("_cell"),
-        F.when(F.col("_split"), F.floor(nearest / RING)).otherwise(0).cast("int").alias("_ring"),
+        (F.array_position("_angles", nearest) - 1).cast("int").alias("_cell"),
+        F.floor(nearest / ring_width).cast("int").alias("_ring"),
         nearest.alias("_angle"),
-    )
+    ), "placed_vectors")
     ring = [*keys, "_cell", "_ring"]
     asked = queries.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("_parts"))
     blocks = (
@@ -122,8 +119,7 @@ def nearest_stored(
         .select(*task, "id", "vector")
     )
     own_angle = F.get("_angles", F.col("_cell"))
-    within = own_angle.between(F.col("_low") - reach, F.col("_high") + reach)
-    near = (F.col("_cell") == WHOLE) | within
+    near = own_angle.between(F.col("_low") - reach, F.col("_high") + reach)
     query_rows = (
         queries.select("id", "vector", *keys, angles("vector").alias("_angles"))
         .join(blocks, keys)

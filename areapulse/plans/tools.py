@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from areapulse.functions.periods import between, parse_period
@@ -12,7 +15,6 @@ METRICS = {"activity_volume": "foot_traffic", "foot_traffic": "foot_traffic", "s
 DOMAINS = {"population": "foot_traffic", "sales": "sales"}
 SHORT = cand.SHORT
 DEFAULT_LEVEL = "sig"
-MAX_TOP_K = 100
 
 
 def _level(level: str | None) -> str:
@@ -30,7 +32,7 @@ def _domains(domains: list[str]) -> list[str]:
 
 
 def series_at(gold, level: str, region: str | None = None) -> DataFrame:
-    rows = trend(gold, level).select("spatial_label", "date", "foot_traffic", "sales")
+    rows = trend(gold, level).select("spatial_label", "spatial_type", "date", "foot_traffic", "sales")
     return rows if region is None else rows.where(F.col("spatial_label") == region)
 
 
@@ -48,19 +50,19 @@ def latest_by_year(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys, F.year("date").alias("year")).agg(F.max("date").alias("date"))
 
 
-def _on_period(rows: DataFrame, period: str, data: DataFrame) -> DataFrame:
-    """Rows of the resolved date; the date stays a scalar subquery of the plan."""
+def _on_period(rows: DataFrame, period: str) -> DataFrame:
+    """Rows of the resolved date, for a year the latest one among ``rows``; it stays a scalar subquery of the plan."""
     text = period.strip()
     if len(text) == 4 and text.isdigit():
-        return rows.where(F.col("date") == resolve_period(data, text).scalar())
-    day = rows.sparkSession.range(1).select(parse_period(F.lit(text)).alias("d")).first()["d"]
-    if day is None:
-        raise ValueError("period must be YYYY, YYYY-MM, or YYYY-MM-DD")
-    return rows.where(F.col("date") == F.lit(day))
+        return rows.where(F.col("date") == resolve_period(rows, text).scalar())
+    if not re.fullmatch(r"\d{4}-\d{2}(-\d{2})?|\d{8}", text):
+        raise ValueError("a period is a year, a month (YYYY-MM) or a day")
+    digits = text.replace("-", "").ljust(8, "x").replace("xx", "01")
+    return rows.where(F.col("date") == F.lit(datetime.strptime(digits, "%Y%m%d").date()))
 
 
 def rankings(gold, metric: str, period: str, top_k: int = 10, level: str | None = None) -> DataFrame:
-    """Leading labels of one date; ties are listed by label."""
+    """The ``top_k`` leading labels of one date, however many are asked for; ties are listed by label."""
     if metric not in METRICS:
         raise ValueError("metric must be one of: activity_volume, foot_traffic, sales")
     if top_k <= 0:
@@ -68,10 +70,10 @@ def rankings(gold, metric: str, period: str, top_k: int = 10, level: str | None
     column = METRICS[metric]
     rows = series_at(gold, _level(level))
     return (
-        _on_period(rows, period, monthly(gold.activity).select("date"))
+        _on_period(rows, period)
         .select("spatial_label", "date", F.lit(column).alias("metric"), F.col(column).alias("value"))
         .orderBy(F.col("value").desc_nulls_last(), "spatial_label")
-        .limit(min(top_k, MAX_TOP_K))
+        .limit(top_k)
     )
 
 
@@ -81,6 +83,7 @@ def latest_row(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFram
     return rows.groupBy(*keys).agg(latest).select(*keys, "_latest.*")
 
 
+# The words of the two functions below are fixed values of the tool interface.
 def trend_word(rate: Column) -> Column:
     return F.when(rate > 0, "up").when(rate < 0, "down").otherwise("flat")
 
@@ -148,7 +151,7 @@ def detect_anomaly(
         "spatial_label", "date", F.col(metric).alias("value"), F.col(f"{SHORT[metric]}_zscore").alias("zscore")
     )
     if period:
-        rows = _on_period(rows, period, rows)
+        rows = _on_period(rows, period)
     if region and period:
         rows = rows.agg(F.max("date").alias("date"), F.max("value").alias("value"), F.max("zscore").alias("zscore"))
         rows = rows.withColumn("spatial_label", F.lit(region))
@@ -223,7 +226,7 @@ def _place_filter(df: DataFrame, dim: DataFrame, spatial_key: str | None, spatia
 def time_series(
     gold,
     query_type: str = "trend",
-    level: str = "emd",
+    level: str = "norm",
     spatial_key: str | None = None,
     spatial_label: str | None = None,
     start: str | None = None,
@@ -246,25 +249,25 @@ def time_series(
     if query_type != "trend":
         raise ValueError("query type must be one of: trend, yoy, demographics")
     place = spatial_label or spatial_key
-    rows = trend(gold, level if level in ("sig", "sido") else "norm")
+    rows = trend(gold, level)
     rows = rows.where(between(F.col("date"), start, end))
     return (rows.where(F.col("spatial_label") == place) if place else rows).orderBy("date", "spatial_label")
 
 
 def insight_rows(
-    gold, level: str = "emd", place: str | None = None, start: str | None = None, end: str | None = None
+    gold, level: str = "norm", place: str | None = None, start: str | None = None, end: str | None = None
 ) -> DataFrame:
     """Candidate rows of a level under filters, by date."""
-    rows = cand.candidates(gold, level if level in ("sig", "sido") else "norm")
+    rows = cand.candidates(gold, level)
     rows = rows.where(between(F.col("date"), start, end))
     return (rows.where(F.col("spatial_label") == place) if place else rows).orderBy("date", "spatial_label")
 
 
 def top_labels(
-    gold, level: str = "emd", place: str | None = None, start: str | None = None, end: str | None = None, top: int = 10
+    gold, level: str = "norm", place: str | None = None, start: str | None = None, end: str | None = None, top: int = 10
 ) -> DataFrame:
     """Labels with the most foot traffic over the filtered dates."""
-    rows = trend(gold, level if level in ("sig", "sido") else "norm").where(between(F.col("date"), start, end))
+    rows = trend(gold, level).where(between(F.col("date"), start, end))
     if place:
         rows = rows.where(F.col("spatial_label") == place)
     return (
@@ -277,7 +280,7 @@ def top_labels(
 
 def geo_totals(
     gold,
-    level: str = "emd",
+    level: str = "norm",
     spatial_label: str | None = None,
     spatial_key: str | None = None,
     start: str | None = None,

@@ -10,7 +10,6 @@ its aggregated layer; the analytics read those tables.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -34,12 +33,6 @@ class Gold:
     admin_sido: DataFrame
     dedupe: bool = True
 
-    @cached_property
-    def keys_per_date(self) -> int:
-        """Most fact rows on one date; no roll-up has more labels on a date."""
-        per_date = self.activity.groupBy("date").count().agg(F.max("count").alias("n"))
-        return per_date.first()["n"] or 0
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -94,7 +87,8 @@ def dim_spatial(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orders_by_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
-    return orders.join(customer, orders["o_custkey"] == customer["c_custkey"]).withColumn("spatial_key", place_key())
+    placed = orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
+    return placed.select("o_orderkey", "o_orderpriority", "o_orderdate", "o_totalprice", place_key().alias("spatial_key"))
 
 
 def _fact(df: DataFrame, source: str, **measures: Column) -> DataFrame:
@@ -104,9 +98,9 @@ def _fact(df: DataFrame, source: str, **measures: Column) -> DataFrame:
     )
 
 
-def gold_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gold_demographics(spark: SparkSession, sf_dir: str, placed: DataFrame) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_linestatus", "l_shipdate")
-    orders = orders_by_place(spark, sf_dir).select("o_orderkey", "o_orderpriority", "spatial_key")
+    orders = placed.select("o_orderkey", "o_orderpriority", "spatial_key")
     decade = F.substring("o_orderpriority", 1, 1)
     return (
         lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
@@ -122,11 +116,10 @@ def gold_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def gold_activity(spark: SparkSession, sf_dir: str, demographics: DataFrame) -> DataFrame:
+def gold_activity(placed: DataFrame, demographics: DataFrame) -> DataFrame:
     """Sales from orders; foot traffic as the sum of the demographic values."""
     sales = (
-        orders_by_place(spark, sf_dir)
-        .groupBy("spatial_key", month_start(F.col("o_orderdate").cast("date")).alias("date"))
+        placed.groupBy("spatial_key", month_start(F.col("o_orderdate").cast("date")).alias("date"))
         .agg(F.sum("o_totalprice").alias("_sales"), F.count(F.lit(1)).alias("_count"))
     )
     visits = demographics.groupBy("spatial_key", "date").agg(F.sum("value").alias("_visits"))
@@ -142,9 +135,10 @@ def gold(spark: SparkSession, sf_dir: str) -> Gold:
     """The shared tables of a folder, written once per Spark application."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _built:
-        demographics = stage(spark, gold_demographics(spark, sf_dir), "gold_demographics", ("date",))
+        placed = stage(spark, orders_by_place(spark, sf_dir), "orders_by_place")
+        demographics = stage(spark, gold_demographics(spark, sf_dir, placed), "gold_demographics", ("date",))
         _built[key] = Gold(
-            activity=stage(spark, gold_activity(spark, sf_dir, demographics), "gold_activity", ("date",)),
+            activity=stage(spark, gold_activity(placed, demographics), "gold_activity", ("date",)),
             demographics=demographics,
             dim=stage(spark, dim_spatial(spark, sf_dir), "dim_spatial"),
             admin_sig=admin_sig(spark, sf_dir),

@@ -75,7 +75,7 @@ def test_vector_look_up_equals_brute_force_however_it_is_split(spark):
     frame = spark.createDataFrame([(i, [float(x) for x in v], g) for i, v, g in items], "id long, vector array<double>, g string")
     want = brute_force(items, 3, 0.92)
     assert len(want) > 150
-    for pivots, block_rows in ((None, 4096), (4, 60), (6, 24)):
+    for pivots, block_rows in ((1, 4096), (4, 60), (6, 24)):
         got = vectors.nearest_stored(frame, frame, ["g"], k=3, threshold=0.92, pivots=pivots, block_rows=block_rows)
         assert sorted((r["query_id"], r["match_id"]) for r in got.collect()) == want
     assert vectors.nearest_stored(frame, frame.limit(0), ["g"]).count() == 0

@@ -1,6 +1,10 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
+from areapulse.functions.numbers import parse_number
+from areapulse.functions.text import region_name
 from areapulse.operators import insight, records as rec, series
 
 METRICS = "source string, spatial_key string, time_key string, baseline double, current double, time_unit string, uplift double, rate_of_change double, volatility double"
@@ -91,10 +95,32 @@ def test_correlation_needs_three_points_and_two_varying_sides(spark, rows):
     assert rows(insight.with_correlation(frame).select("spatial_key", "sample_size", "correlation", "interpretation").distinct()) == want
 
 
-def test_a_crowded_bucket_lists_two_hundred_demographics_and_sums_all(spark):
-    records = rec.normalise(make(spark, *[("a", "2025-01", "telco", 1.0, None, {"20s": 1.0}) for _ in range(250)]))
+def test_measures_of_a_crowded_bucket_read_all_its_records(spark):
+    groups = [*[("telco", {"aaa": 1.0})] * 200, *[("telco", {"zzz": 1.0})] * 800]
+    records = rec.normalise(make(spark, *[("a", "2025-01", source, 1.0, None, group) for source, group in groups]))
     got = insight.bucket_summary(records).first()
-    assert (got["foot_traffic"], len(got["demographics"]), got["source"]) == (250.0, 200, "telco")
+    assert (got["foot_traffic"], len(got["demographics"]), got["source"]) == (1000.0, 1000, "telco")
+    assert len(insight.bucket_summary(records, limit=200).first()["demographics"]) == 200
+    leading = insight.leading_groups(records).first()
+    assert (leading["dominant_group"], leading["dominant_share"], len(leading["top_groups"])) == ("zzz", 0.8, 2)
+
+
+def test_an_unknown_value_has_no_trend_and_is_no_point_of_one(spark, rows):
+    frame = spark.createDataFrame([("a", f"2024-0{m}", v) for m, v in enumerate((1.0, 2.0, None, 3.0, None, 9.0), 1)], "k string, t string, v double")
+    assert rows(series.trend(frame, "v", ["k"], "t"), "t", "direction", "slope") == [
+        ("2024-01", None, None), ("2024-02", "increase", 1.0), ("2024-03", None, None), ("2024-04", "increase", 1.0),
+        ("2024-05", None, None), ("2024-06", "increase", 3.5)]
+
+
+def test_a_baseline_keeps_its_digits_after_large_values(spark, rows):
+    frame = spark.createDataFrame([("s", "a", dt.date(2024, 1, d), str(d), v, 2) for d, v in enumerate((1e17, 0.5, 0.25, 7.0), 1)], "source string, spatial_key string, _date date, time_key string, current double, n long")
+    assert rows(series.dynamic_baseline(frame, "n"), "time_key", "baseline")[3] == ("4", 0.375)
+
+
+def test_bad_cells_never_fail(spark, rows):
+    assert rows(spark.createDataFrame([("9" * 60,), ("1e100",), ("1E-100",), ("1e999",), ("5",)], "t string").select(parse_number(F.col("t")).alias("n")), "n") == sorted(
+        [(1e60,), (1e100,), (1e-100,), (None,), (5.0,)], key=repr)
+    assert rows(spark.createDataFrame([("9" * 60,)], "t string").select(region_name(F.col("t")).alias("n")), "n") == [(None,)]
 
 
 def test_sources_are_named_in_order(spark, rows):

@@ -3,7 +3,7 @@ import random
 from types import SimpleNamespace
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from areapulse.operators import candidates as cand, profile, rollups
 from areapulse.plans import payloads, tools
@@ -27,7 +27,7 @@ def gold(spark, facts, places, admin=(), demographics=()):
     sig = spark.createDataFrame(list(admin), ADMIN_SIG)
     return SimpleNamespace(
         activity=facts, dim=places, admin_sig=sig, admin_sido=sig.select("sido_code", "sido_name").distinct(),
-        demographics=spark.createDataFrame(list(demographics), GOLD_DEMOGRAPHICS), keys_per_date=facts.count(),
+        demographics=spark.createDataFrame(list(demographics), GOLD_DEMOGRAPHICS),
     )
 
 
@@ -115,15 +115,29 @@ def test_ranks_without_a_window_per_date_equal_the_window(spark, rows):
     line = [(f"p{i}", D(2024, 1 + i % 2, 1), random.choice(values), random.choice(values)) for i in range(400)]
     base = spark.createDataFrame(line, "spatial_label string, date date, foot_traffic double, sales double")
     columns = ["spatial_label", "date", "ft_rank", "sales_rank", F.round("ft_avg_date", 6), F.round("sales_avg_date", 6)]
-    assert rows(cand.with_date_columns(base, base), *columns) == rows(cand.date_windows(base), *columns)
-
-
-def test_candidates_do_not_depend_on_the_ranking_method(spark, rows):
-    facts = activity(spark, *[(f"k{i % 7}", D(2024, 1 + i // 7, 1), "s", float(i * 7 % 11), float(i % 5)) for i in range(70)])
-    data = gold(spark, facts, dim(spark))
-    few = rows(cand.candidates(data, "norm"))
-    data.keys_per_date = cand.WINDOW_ROWS + 1
-    assert rows(cand.candidates(data, "norm")) == few and len(few) == 70
+    whole = Window.partitionBy("date")
+    windowed = base.withColumns({
+        f"{s}_{what}": column
+        for c, s in cand.SHORT.items()
+        for what, column in (("avg_date", F.avg(c).over(whole)), ("rank", F.rank().over(whole.orderBy(F.col(c).desc_nulls_last()))))
+    })
+    assert rows(cand.with_date_columns(base, base), *columns) == rows(windowed, *columns)
+
+
+def test_two_types_of_a_label_are_lagged_in_order_of_type(spark, rows):
+    facts = activity(spark, *[(k, D(2024, m, 1), "s", float(10 * m + n), None) for m in (1, 2) for n, k in enumerate(("k", "l"))])
+    data = gold(spark, facts, dim(spark, ("k", "same", "emd", None), ("l", "same", "sig", None)))
+    assert rows(cand.candidates(data, "norm"), "date", "foot_traffic", "ft_prev") == sorted([
+        (D(2024, 1, 1), 10.0, None), (D(2024, 1, 1), 11.0, 10.0), (D(2024, 2, 1), 20.0, 11.0), (D(2024, 2, 1), 21.0, 20.0)], key=repr)
+    assert rows(cand.candidates(data, "emd"), "foot_traffic", "ft_prev") == [(10.0, None), (20.0, 10.0)]
+
+
+def test_rankings_are_not_cut_and_years_are_looked_up_on_the_level(spark, rows):
+    facts = activity(spark, *[(f"k{i:03}", D(2024, 3, 1), "s", None, float(i)) for i in range(150)], ("x", D(2024, 2, 1), "s", None, 7.0))
+    data = gold(spark, facts, dim(spark, ("x", "X", "emd", None)))
+    assert tools.rankings(data, "sales", "2024", 500, "norm").count() == 150
+    assert rows(tools.rankings(data, "sales", "2024", 5, "emd"), "spatial_label", "value") == [("X", 7.0)]
+    assert tools.time_series(data, "trend", "emd").count() == tools.rankings(data, "sales", "2024-02", 5, "emd").count() == 1
 
 
 def test_tools_check_their_parameters(spark, rows):
