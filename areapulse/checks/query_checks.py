@@ -28,7 +28,7 @@ FLAT = {"spatial_label": "spatial", "date": "time", "level": "level", "sales": "
 
 
 def flat(df):
-    return df.select(*[dq.dig(df, p).alias(n) for n, p in FLAT.items()])
+    return df.select(*[(dq.dig(df, p).cast("string") if p == "time" else dq.dig(df, p)).alias(n) for n, p in FLAT.items()])
 
 
 ROWS = "spatial_label date level"
@@ -107,7 +107,7 @@ check("q8_nested_insights", statement(
     "ft_zscore AS foot_traffic_zscore, corr_sales_foot_traffic FROM ins", "spatial time level sales_rank",
     "foot_traffic_prev sales_yoy_pct foot_traffic_zscore corr_sales_foot_traffic", VIEW))(
     lambda spark, sf: insights(spark, sf).select(
-        "spatial", "time", "level", "economic.sales_rank", "population.foot_traffic_prev", "analysis.trend.sales_yoy_pct",
+        "spatial", F.col("time").cast("string").alias("time"), "level", "economic.sales_rank", "population.foot_traffic_prev", "analysis.trend.sales_yoy_pct",
         "analysis.anomalies.foot_traffic_zscore", "analysis.impact.corr_sales_foot_traffic"))
 
 

@@ -17,7 +17,7 @@ LEAST_BUCKETS = 16
 def value_positions(
     df: DataFrame, groups: list[str], value: str, descending: bool = False, buckets: int | None = None
 ) -> DataFrame:
-    """One row per (group, non-null value): ``copies`` and rows ``before`` it.
+    """One row per (group, non-null value): its ``copies``, rows ``before`` it, and the ``size`` of its group.
 
     A group is cut into ``buckets`` ranges, by default one for each shuffle partition.
     """
@@ -37,25 +37,24 @@ def value_positions(
     offsets = (
         ranged.groupBy(*groups, "_range")
         .agg(F.sum("copies").alias("_total"))
-        .select(*groups, "_range", F.sum("_total").over(ahead(groups, "_range")).alias("_offset"))
+        .select(
+            *groups, "_range", F.sum("_total").over(ahead(groups, "_range")).alias("_offset"),
+            F.sum("_total").over(Window.partitionBy(*groups)).alias("size"),
+        )
     )
     inside = ranged.withColumn("_inside", F.sum("copies").over(ahead([*groups, "_range"], value)))
     return inside.join(offsets, [*groups, "_range"]).select(
-        *groups, value, "copies",
+        *groups, value, "copies", "size",
         (F.coalesce("_offset", F.lit(0)) + F.coalesce("_inside", F.lit(0))).alias("before"),
     )
 
 
 def group_medians(df: DataFrame, groups: list[str], value: str) -> DataFrame:
     """Exact median of the non-null values per group, as ``median``."""
-    positions = value_positions(df, groups, value)
-    sizes = (
-        df.groupBy(*groups).agg(F.count(value).alias("_n"))
-    )
-    low, high = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
+    low, high = F.floor((F.col("size") - 1) / 2), F.floor(F.col("size") / 2)
     holds: Column = lambda place: (F.col("before") <= place) & (place < F.col("before") + F.col("copies"))
     return (
-        positions.join(sizes, groups)
+        value_positions(df, groups, value)
         .where(holds(low) | holds(high))
         .groupBy(*groups)
         .agg(((F.min(value) + F.max(value)) / 2).alias("median"))

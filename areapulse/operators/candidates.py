@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from copy import copy
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from areapulse.functions.numbers import change, correlation, ratio, slope, zscore
 from areapulse.functions.ordering import value_positions
-from areapulse.operators.rollups import LEVELS, monthly, trend
+from areapulse.operators.rollups import LEVELS, monthly, monthly_trend, trend
 from areapulse.session import stage
 
 COLUMNS = [
@@ -144,8 +145,22 @@ def candidates(gold, level: str, dedupe: bool | None = None) -> DataFrame:
     return rows.select(*COLUMNS)
 
 
+def summed(gold, dedupe: bool | None = None):
+    """The shared tables with the facts already added up per key and month, stored once.
+
+    Without ``dedupe`` the number of source rows counts, so the facts stay.
+    """
+    if not (getattr(gold, "dedupe", True) if dedupe is None else dedupe):
+        return gold
+    sums = monthly_trend(gold.activity).withColumns({"granularity": F.lit("month"), "source": F.lit("all")})
+    tables = copy(gold)
+    tables.activity = stage(gold.activity.sparkSession, sums, "monthly_sums", ("date",))
+    return tables
+
+
 def candidates_all(gold, levels: tuple[str, ...] = LEVELS, dedupe: bool | None = None) -> DataFrame:
     """Candidates of several levels under one another, with their ``level``."""
+    gold = summed(gold, dedupe)
     parts = [candidates(gold, lv, dedupe).select(F.lit(lv).alias("level"), *COLUMNS) for lv in levels]
     return reduce(DataFrame.unionByName, parts)
 
@@ -166,7 +181,7 @@ def advanced(rows: DataFrame) -> DataFrame:
 
 def advanced_input(gold, levels: tuple[str, ...] = LEVELS, dedupe: bool | None = None) -> DataFrame:
     """The candidate columns that :func:`advanced` reads, without ranks and leaders."""
-    parts = []
+    parts, gold = [], summed(gold, dedupe)
     for level in levels:
         base = trend(gold, level, dedupe).select("spatial_label", "date", "foot_traffic", "sales")
         parts.append(standardise(base, ["spatial_label"]).withColumn("level", F.lit(level)))

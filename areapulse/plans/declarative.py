@@ -1,8 +1,9 @@
 """Declarative queries over insight rows: a dictionary becomes a DataFrame plan.
 
 A query names a target path, aggregations, filters, grouping paths and an
-optional period comparison. Paths are resolved against the schema; nothing is
-read while a plan is built.
+optional period comparison. Paths are resolved against the schema. Where the time
+is a date, its range reaches the scan. Only a summary, whose parts all start from
+the same kept rows, stores these while it is built.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from areapulse.functions.numbers import drop_nan
 from areapulse.functions.ordering import group_medians
 from areapulse.functions.text import parse_date
+from areapulse.session import stage
 
 AGGREGATIONS = ["sum", "avg", "min", "max", "median", "count"]
 DEFAULT_AGGREGATIONS = ["avg"]
@@ -113,9 +115,9 @@ def read_date(text: str | None) -> dt.date | None:
         return None
 
 
-def time_filter(time: Column, wanted: dict) -> Column:
-    """Range, month and weekday test; an unreadable or missing time passes."""
-    day = parse_date(time)
+def time_filter(time: Column, wanted: dict, is_date: bool = False) -> Column:
+    """Range, month and weekday test of a date or a text; an unreadable or missing time passes."""
+    day = time if is_date else parse_date(time)
     tests = [F.lit(True)]
     start, end = read_date(wanted.get("start")), read_date(wanted.get("end"))
     if start:
@@ -186,11 +188,15 @@ def demographic_filter(df: DataFrame, wanted: dict) -> Column:
     return reduce(lambda a, b: a & b, tests)
 
 
+def _has_dates(df: DataFrame) -> bool:
+    return isinstance(path_type(df.schema, "time"), T.DateType)
+
+
 def apply_filters(df: DataFrame, filters: dict) -> DataFrame:
     if filters.get("spatial"):
         df = df.where(F.col("spatial").isin(filters["spatial"]))
     if filters.get("time"):
-        df = df.where(time_filter(F.col("time"), filters["time"]))
+        df = df.where(time_filter(F.col("time"), filters["time"], _has_dates(df)))
     if filters.get("demographics"):
         df = df.where(demographic_filter(df, filters["demographics"]))
     return df
@@ -272,8 +278,9 @@ def shifted_period(time: dict, compare: dict) -> dict | None:
 def compare_periods(df: DataFrame, query: dict) -> DataFrame | None:
     """Each aggregate for the period and the earlier one, with the difference.
 
-    No rows when the earlier period has none. Both sides are a single row of
-    aggregates, turned into a row per aggregate and joined by its name.
+    No rows when the earlier period has none. The rows are read once: each is
+    tagged with the periods it lies in, one, both or, for an unreadable time,
+    both, and the tag is the group.
     """
     filters = query.get("filters") or {}
     aggregations = query.get("aggregations") or DEFAULT_AGGREGATIONS
@@ -281,13 +288,25 @@ def compare_periods(df: DataFrame, query: dict) -> DataFrame | None:
     if earlier is None:
         return None
 
-    def side(period: dict, name: str) -> DataFrame:
-        rows = aggregate(apply_filters(df, {**filters, "time": period}), query["target"], aggregations)
-        casted = rows.where("rows > 0").select(*[F.col(a).cast("double").alias(a) for a in aggregations])
-        return casted.unpivot([], aggregations, "aggregation", name)
+    rows = apply_filters(df, {k: v for k, v in filters.items() if k != "time"})
+    inside = {
+        name: time_filter(F.col("time"), period, _has_dates(df))
+        for name, period in (("current", filters["time"]), ("previous", earlier))
+    }
+    tags = F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in inside.items()]))
+    tagged = rows.where(inside["current"] | inside["previous"]).withColumn("_period", F.explode(tags))
+    found = aggregate(tagged, query["target"], aggregations, ["_period"])
+    long = found.select("_period", *[F.col(a).cast("double").alias(a) for a in aggregations]).unpivot(
+        ["_period"], aggregations, "aggregation", "value"
+    )
 
-    current, previous = side(filters["time"], "current"), side(earlier, "previous")
-    return previous.join(current, "aggregation", "left").select(
+    def side(name: str) -> Column:
+        return F.max(F.when(F.col("_period") == name, F.col("value"))).alias(name)
+
+    both = long.groupBy("aggregation").agg(
+        side("current"), side("previous"), F.max(F.col("_period") == "previous").alias("_known")
+    )
+    return both.where("_known").select(
         "aggregation", "current", "previous", (F.col("current") - F.col("previous")).alias("delta")
     )
 
@@ -298,7 +317,7 @@ def project(df: DataFrame, target: str) -> DataFrame:
         (F.col(c) if c in df.columns else F.lit(None).cast("string")).alias(c) for c in ("source", "analysis", "narrative")
     ]
     found = F.struct(F.lit(target).alias("path"), dig(df, target).alias("value")).alias("target")
-    return df.select("spatial", "time", optional[0], found, *optional[1:])
+    return df.select("spatial", F.col("time").cast("string").alias("time"), optional[0], found, *optional[1:])
 
 
 @dataclass(frozen=True)
@@ -310,11 +329,11 @@ class Summary:
 
 
 def summarize(df: DataFrame, query: dict) -> Summary:
-    """Plans for all parts of a query; the comparison ignores ``top_n``."""
+    """All parts of a query; the kept rows are stored once for them. The comparison ignores ``top_n``."""
     validate_query(query)
     filters, target = query.get("filters") or {}, query["target"]
     aggregations = query.get("aggregations") or DEFAULT_AGGREGATIONS
-    kept = apply_top_n(apply_filters(df, filters), filters, target)
+    kept = stage(df.sparkSession, apply_top_n(apply_filters(df, filters), filters, target), "kept_insights")
     group_by = query.get("group_by") or []
     groups = aggregate(kept, target, aggregations, group_by) if group_by else None
     return Summary(
@@ -346,7 +365,7 @@ def nested_insights(rows: DataFrame) -> DataFrame:
     impact = ["corr_sales_foot_traffic", "sales_impact_slope", "sales_impact_score", "foot_traffic_impact_score"]
     return rows.select(
         F.col("spatial_label").alias("spatial"),
-        F.col("date").cast("string").alias("time"),
+        F.col("date").alias("time"),
         level.alias("level"),
         measures("foot_traffic", "ft").alias("population"),
         measures("sales", "sales").alias("economic"),

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from areapulse.functions.periods import between, parse_period
 from areapulse.operators import candidates as cand
 from areapulse.operators.rollups import LEVELS, demographic_share, monthly, trend, year_on_year
+from areapulse.session import stage
 
 METRICS = {"activity_volume": "foot_traffic", "foot_traffic": "foot_traffic", "sales": "sales"}
 DOMAINS = {"population": "foot_traffic", "sales": "sales"}
@@ -32,7 +33,8 @@ def _domains(domains: list[str]) -> list[str]:
 
 
 def series_at(gold, level: str, region: str | None = None) -> DataFrame:
-    rows = trend(gold, level).select("spatial_label", "spatial_type", "date", "foot_traffic", "sales")
+    """The roll-up of a level from the shared tables, or from itself if it is already at hand."""
+    rows = gold if isinstance(gold, DataFrame) else trend(gold, level).select("spatial_label", "spatial_type", "date", "foot_traffic", "sales")
     return rows if region is None else rows.where(F.col("spatial_label") == region)
 
 
@@ -177,18 +179,18 @@ def report(
     """The four tool results for one region, as separate frames.
 
     Anomaly and ranking look at the month the period ends in (the latest month
-    with data when it ends with a year).
+    with data when it ends with a year). The roll-up is stored once for all four.
     """
     end = (period_to or period_from or "").strip()
     if not end:
         raise ValueError("period is required")
     month = end[:7] if "-" in end else end
-    both = list(DOMAINS)
+    both, series = list(DOMAINS), stage(gold.activity.sparkSession, series_at(gold, _level(level)), "report_series")
     return {
-        "compare_domains": compare_domains(gold, both, period_from, period_to, region, level),
-        "detect_anomaly": detect_anomaly(gold, "sales", region, month, level=level),
-        "get_rankings": rankings(gold, "sales", month, 10, level),
-        "get_advanced_insight": advanced_insight(gold, both, region, level),
+        "compare_domains": compare_domains(series, both, period_from, period_to, region, level),
+        "detect_anomaly": detect_anomaly(series, "sales", region, month, level=level),
+        "get_rankings": rankings(series, "sales", month, 10, level),
+        "get_advanced_insight": advanced_insight(series, both, region, level),
     }
 
 

@@ -21,6 +21,7 @@ HEADLINE = [
     "u1_candidates_all", "k1_rankings", "k7_vector_lookup", "j9_points_in_polygons", "m9_insights",
     "n4_sales", "n6_telco_grid_demographics", "n8_sex_age", "a20_grouped_aggregates", "q6_compare_yoy",
     "r1_compare_domains", "r8_region_payload", "r11_request_tags", "d6_add_activity",
+    "d3_incremental_ingest", "d3_mixed_layouts", "w7_candidates_wide", "k1_rankings_wide", "a24_leading_groups_crowded", "k7_vector_lookup_split",
 ]
 
 
