@@ -45,6 +45,23 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/areapulse/{name}-{uuid.uuid4().hex}"
 
 
+_staged: dict[str, list[str]] = {}
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables that :func:`stage` wrote for this application; the number of them.
+
+    Frames that read them, and shared tables built from them, must not be used any
+    more. Folders that a caller asked for by :func:`new_folder` stay.
+    """
+    paths = _staged.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)
+
+
 def stage(spark: SparkSession, df: DataFrame, name: str, sort_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -54,5 +71,6 @@ def stage(spark: SparkSession, df: DataFrame, name: str, sort_by: tuple[str, ...
     without another shuffle.
     """
     path = new_folder(spark, name)
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
     (df.sortWithinPartitions(*sort_by) if sort_by else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

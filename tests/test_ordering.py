@@ -12,7 +12,7 @@ def test_positions_count_the_rows_ahead(spark, rows):
     want = []
     for group in ("cold", "hot"):
         values = [v for g, v in data if g == group and v is not None]
-        want += [(group, v, values.count(v), sum(x > v for x in values)) for v in set(values)]
+        want += [(group, v, values.count(v), len(values), sum(x > v for x in values)) for v in set(values)]
     assert got == sorted(want, key=repr)
 
 

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from areapulse.operators import dimension, requests as req, spatial, vectors
@@ -105,3 +106,16 @@ def test_fingerprint_is_the_hash_of_the_joined_parts(spark):
 
     got = spark.range(1).select(req.fingerprint(F.lit("a"), F.lit(1), F.lit("b"))).first()[0]
     assert got == hashlib.sha256(b"a1b").hexdigest()
+
+
+def test_only_staged_tables_are_released(spark, tmp_path, monkeypatch):
+    from areapulse import session
+
+    monkeypatch.setattr(session, "_staged", {})
+    kept = session.new_folder(spark, "kept")
+    spark.range(3).write.parquet(kept)
+    staged = session.stage(spark, spark.range(4), "released")
+    assert staged.count() == 4 and session.release(spark) == 1 and session.release(spark) == 0
+    assert spark.read.parquet(kept).count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(staged.inputFiles()[0]).count()
