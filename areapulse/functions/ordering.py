@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from areapulse.session import stage
+
 LEAST_BUCKETS = 16
 
 
@@ -25,7 +27,8 @@ def value_positions(
         buckets = max(LEAST_BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     counts = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("copies"))
     steps = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    cuts = counts.groupBy(*groups).agg(F.percentile_approx(value, steps, 10 * buckets).alias("_cuts"))
+    # Approximate quantiles differ from one evaluation to the next, so they are fixed before two branches use them.
+    cuts = stage(df.sparkSession, counts.groupBy(*groups).agg(F.percentile_approx(value, steps, 10 * buckets).alias("_cuts")), "value_cuts")
     ranged = counts.join(cuts, groups).select(
         *groups, value, "copies",
         F.size(F.filter("_cuts", lambda cut: cut < F.col(value))).alias("_range"),
