@@ -3,8 +3,10 @@
 The library reaches about one megabyte a second, most of it spent on words it has
 seen before. A text can be cut before any single space whose next character is
 not white space: the vocabulary's pre-tokenizer always starts a new piece there.
-Each cut part is encoded by the library once and kept in a bounded dictionary;
-texts with runs of white space, or with a special token, are encoded whole.
+Each cut part is encoded by the library's model once and kept in a dictionary of
+bounded size; a plain word with one mark after it is its word's ids and the
+mark's. Texts with runs of white space, or with a special token, are encoded
+whole.
 """
 
 from __future__ import annotations
@@ -14,7 +16,23 @@ from functools import lru_cache
 import numpy as np
 
 VOCABULARY = "byte_bpe_50k.json"
-CACHED_WORDS = 600_000
+CACHED_WORDS = 500_000
+LONGEST_CACHED = 64
+MARKS = frozenset(".,;:!?")
+#: Letters below this code point are letters to every version of Unicode.
+OLD_LETTERS = "ɐ"
+
+
+@lru_cache(maxsize=1)
+def _byte_letters() -> dict[int, str]:
+    """The printable stand-in of each byte in byte-level vocabularies: itself, or the next free from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    other = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(other)}
+
+
+def _plain(word: str) -> bool:
+    return word.isalpha() and (word.isascii() or max(word) < OLD_LETTERS)
 
 
 class TextEncoder:
@@ -24,39 +42,63 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cached_words = cached_words
+        # Words by the text after a space; when full, these become the old ones and only what is met again comes back.
         self.words: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def _piece(self, piece: str) -> bytes:
+        """Ids of one piece in stand-in letters."""
+        return np.asarray([t.id for t in self.tokenizer.model.tokenize(piece)], dtype="<u4").tobytes()
+
     def _part(self, text: str) -> bytes:
         """Ids of a text without special tokens, piece by piece."""
-        pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(text)
-        model = self.tokenizer.model
-        return np.asarray([t.id for piece, _ in pieces for t in model.tokenize(piece)], dtype="<u4").tobytes()
+        if _plain(text.removeprefix(" ")):
+            return self._piece(text.encode().decode("latin-1").translate(_byte_letters()))
+        return b"".join([self._piece(p) for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)])
+
+    def _cached(self, key: str, make) -> bytes:
+        ids = self.words.get(key)
+        if ids is None:
+            ids = self.old.get(key)
+            if ids is None:
+                ids = make(key)
+            if len(key) <= LONGEST_CACHED:
+                if len(self.words) >= self.cached_words:
+                    self.old, self.words = self.words, {}
+                self.words[key] = ids
+        return ids
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a space and ``word``."""
+        if word[-1] in MARKS and _plain(word[:-1]):
+            return self._cached(word[:-1], self._word) + self._cached(" " + word[-1], self._unspaced)
+        start, line_break, rest = word.partition("\n")
+        if line_break and start and start[-1] in MARKS and _plain(start[:-1]) and _plain(rest):
+            return self._cached(start, self._word) + self._cached(" \n", self._unspaced) + self._cached(" " + rest, self._unspaced)
+        return self._part(" " + word)
+
+    def _unspaced(self, key: str) -> bytes:
+        """Ids of what stands without a space before it; its key starts with one, which no word has."""
+        return self._part(key[1:])
 
     def encode(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers; none for NULL."""
         if not text:
             return b""
+        if any(s in text for s in self.special):
+            return self._whole(text)
         first, *rest = text.split(" ")
-        words = self.words
-        found = list(map(words.get, rest))
+        found = list(map(self.words.get, rest))
         if None in found:
             for i, ids in enumerate(found):
                 if ids is None:
                     word = rest[i]
-                    if not word or word[0].isspace() or any(s in word for s in self.special):
+                    if not word or word[0].isspace():
                         return self._whole(text)
-                    if (ids := words.get(word)) is None:
-                        if len(words) >= self.cached_words:
-                            words.clear()
-                        ids = self._part(" " + word)
-                        if len(word) <= 64:
-                            words[word] = ids
-                    found[i] = ids
-        if any(s in first for s in self.special):
-            return self._whole(text)
+                    found[i] = self._cached(word, self._word)
         return (self._part(first) if first else b"") + b"".join(found)
 
 
