@@ -40,6 +40,26 @@ def rows_of(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple]
             yield from zip(*(part.column(part.schema.get_field_index(c)).to_pylist() for c in columns), strict=True)
 
 
+_held: dict = {}
+
+
+def hold_one(key, make: Callable):
+    """What ``make`` gives, kept by a Python worker until another key is asked for.
+
+    Workers are used again from stage to stage; they keep the large tables of one
+    operator at a time.
+    """
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
+def give_back() -> None:
+    """Return memory that Arrow has freed but not given back; at the end of a task, as its worker lives on."""
+    pa.default_memory_pool().release_unused()
+
+
 class Emitter:
     """Collects output rows and hands them on as Arrow batches of bounded size."""
 
@@ -84,5 +104,6 @@ def map_rows(df: DataFrame, columns: list[str], schema: str, each: Callable[...,
                 if emitter.full:
                     yield emitter.take()
         yield emitter.take()
+        give_back()
 
     return df.select(*[F.col(f"`{c}`") for c in columns]).mapInArrow(run, out)

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from areapulse.llm.common import fold
+from areapulse.llm.common import fold, give_back, hold_one
 
 SAMPLE_DOCS = 64
 SAMPLE_CHARS = 1000
@@ -26,6 +26,8 @@ UNKNOWN = "und"
 FOLDS, HELD_OUT = 4, 2
 _OTHER, _GAP = 0, 1
 _SCALAR_LANES = 48
+#: Documents that a task parses together.
+SLICE_ROWS = 1500
 
 
 class Alphabet:
@@ -114,7 +116,7 @@ class CrossParser:
         """Pieces that each language needs for each text, as languages x texts."""
         sizes = np.array([len(t) for t in texts], np.int64)
         order = np.argsort(-sizes, kind="stable")
-        flat = np.concatenate([texts[i] for i in order]).astype(np.int64) if len(texts) else np.empty(0, np.int64)
+        flat = np.concatenate([texts[i] for i in order]) if len(texts) else np.empty(0, np.uint8)
         sizes = sizes[order]
         offsets = np.cumsum(sizes) - sizes
         out = np.empty((len(self.tables), len(texts)), np.int64)
@@ -157,10 +159,9 @@ class CrossParser:
         return names, scores
 
 
-@lru_cache(maxsize=2)
 def cross_parser(references: tuple[tuple[str, str], ...]) -> CrossParser:
     """Built once per Python worker from the labelled text."""
-    return CrossParser(references)
+    return hold_one(("languages", references), lambda: CrossParser(references))
 
 
 def learn(
@@ -193,11 +194,12 @@ def identify(docs: DataFrame, references: tuple[tuple[str, str], ...], keep: tup
     def predict(batches):
         parser = cross_parser(references)
         for batch in batches:
-            for start in range(0, batch.num_rows, 4096):
-                part = batch.slice(start, 4096)
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
                 names, scores = parser.predict(part.column("text").to_pylist())
                 columns = [*(part.column(i) for i in range(len(keep))), pa.array(names, pa.string()), pa.array(scores, pa.float64())]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        give_back()
 
     return kept.mapInArrow(predict, schema).withColumnsRenamed({f"_k{i}": c for i, c in enumerate(keep)})
 

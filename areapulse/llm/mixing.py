@@ -24,7 +24,7 @@ MAX_EPOCHS = 4
 SEED = 11
 #: Leaves come to the driver, where the budget is dealt out; a table with more is refused.
 MAX_LEAVES = 1_000_000
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_096
 Path = tuple[str | None, ...]
 
 #: Production weights; a node that is not named has weight 1 among its siblings.

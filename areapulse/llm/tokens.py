@@ -15,8 +15,10 @@ from functools import lru_cache
 
 import numpy as np
 
+from areapulse.llm.common import hold_one
+
 VOCABULARY = "byte_bpe_50k.json"
-CACHED_WORDS = 500_000
+CACHED_WORDS = 350_000
 LONGEST_CACHED = 64
 MARKS = frozenset(".,;:!?")
 #: Letters below this code point are letters to every version of Unicode.
@@ -102,11 +104,12 @@ class TextEncoder:
         return (self._part(first) if first else b"") + b"".join(found)
 
 
-@lru_cache(maxsize=4)
 def text_encoder(vocabulary: str = VOCABULARY) -> TextEncoder:
     """The encoder of a vocabulary file, once per Python worker; a bare name is one of the installed public files."""
-    if "/" not in vocabulary:
+
+    def make() -> TextEncoder:
         import public_tokenizers
 
-        vocabulary = public_tokenizers.path(vocabulary)
-    return TextEncoder(vocabulary)
+        return TextEncoder(vocabulary if "/" in vocabulary else public_tokenizers.path(vocabulary))
+
+    return hold_one(("tokens", vocabulary), make)
