@@ -284,6 +284,17 @@ def test_blocks_and_batches_of_seeds_link_everything(spark, monkeypatch):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_transposed_and_repeated_passages(spark):
+    rng = random.Random(11)
+    p, q, r, s = (random_words(rng, n, 10**6) for n in (80, 60, 80, 70))
+    texts = [q + p + r, p + q + r, p + s + r, p + s + p + r]
+    apart = [(0, 1), (2, 3)]
+    for e, d in apart:
+        rows = spark.createDataFrame([(i, " ".join(texts[i])) for i in (e, d)], "doc_id long, text string")
+        covered = {w for f in chaining.passages(rows).collect() for w in range(f.start_word, f.end_word)}
+        assert covered == set(range(len(texts[d])))
+
+
 def test_cleaned_documents(spark):
     docs = planted(spark).select("doc_id", "text", "lang", "source", "n_chars", chaining.F.lit(1).alias("d"))
     clean = {r.doc_id: r for r in chaining.cleaned(docs, chaining.passages(docs)).collect()}
