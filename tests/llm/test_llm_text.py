@@ -288,13 +288,25 @@ def test_transposed_and_repeated_passages(spark):
     rng = random.Random(11)
     p, q, r, s = (random_words(rng, n, 10**6) for n in (80, 60, 80, 70))
     texts = [q + p + r, p + q + r, p + s + r, p + s + p + r]
-    apart = [(0, 1), (2, 3)]
-    for e, d in apart:
+    for e, d in [(0, 1), (2, 3)]:
         rows = spark.createDataFrame([(i, " ".join(texts[i])) for i in (e, d)], "doc_id long, text string")
         covered = {w for f in chaining.passages(rows).collect() for w in range(f.start_word, f.end_word)}
         assert covered == set(range(len(texts[d])))
 
 
+def test_passages_of_common_lines(spark):
+    rng = random.Random(12)
+    fresh = lambda n: random_words(rng, n, 10**6)
+    line, other = fresh(30), fresh(30)
+    rows = [fresh(60) + line + fresh(60), fresh(60) + other + fresh(60), fresh(60) + line[22:] + other[:8] + fresh(60)]
+    rows += [fresh(60) + line + other + fresh(60)]
+    rows += [fresh(60) + (line, other, line[22:] + other[:8])[n % 3] + fresh(60) for n in range(5)]
+    rows += [fresh(60) + line + other + fresh(60)]
+    docs = spark.createDataFrame([(i, " ".join(r)) for i, r in enumerate(rows)], "doc_id long, text string").coalesce(1)
+    found = [(r.doc_id, r.start_word, r.end_word, r.ref_doc_id, r.ref_start_word) for r in chaining.passages(docs).collect()]
+    assert found == [(9, 60, 120, 3, 60)]
+
+
 def test_cleaned_documents(spark):
     docs = planted(spark).select("doc_id", "text", "lang", "source", "n_chars", chaining.F.lit(1).alias("d"))
     clean = {r.doc_id: r for r in chaining.cleaned(docs, chaining.passages(docs)).collect()}
