@@ -294,6 +294,23 @@ def test_transposed_and_repeated_passages(spark):
         assert covered == set(range(len(texts[d])))
 
 
+@pytest.mark.parametrize(("size", "similarity", "least"), [(50, 0.84, 0.9), (60, 0.8, 0.8), (50, 0.9, 0.97)])
+def test_fuzzy_passages_of_few_words_are_found(size, similarity, least):
+    rng, found = random.Random(13), 0
+    for _ in range(100):
+        a, b = ([rng.randrange(10**9) for _ in range(40 + size + 40)] for _ in range(2))
+        b[40 : 40 + size] = a[40 : 40 + size]
+        for at in rng.sample(range(40, 40 + size), round(size * (1 - similarity))):
+            b[at] = rng.randrange(10**9)
+        a, b = np.array(a), np.array(b)
+        (ha, pa_), (hb, pb) = (chaining.seeds_of(x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for x in (a, b))
+        of_b = dict(zip(hb.tolist(), pb.tolist(), strict=True))
+        links = np.array([(p, of_b[h]) for h, p in zip(ha.tolist(), pa_.tolist(), strict=True) if h in of_b], int).reshape(-1, 2)
+        whole = [s for s in chaining.chained_stretches(a, b, links) if min(s[1] - s[0], s[3] - s[2]) >= 50]
+        found += any(s[4] <= 0.2 * max(s[1] - s[0], s[3] - s[2]) + 1e-9 for s in whole)
+    assert found >= least * 100
+
+
 def test_passages_of_common_lines(spark):
     rng = random.Random(12)
     fresh = lambda n: random_words(rng, n, 10**6)
