@@ -21,7 +21,7 @@ K = 5
 QUERY_DIVISOR = 50
 CANDIDATE_BLOCK = 4096
 QUERY_BLOCK = 1024
-#: Components beyond this cannot be summed in 64 bits; their vectors take no part, like those that are not finite.
+#: Components beyond this may not be summed in 64 bits; the scores of their vectors are exact Python integers.
 LARGEST = 1 << 20
 FIRST_DEPTH = 32
 RESOLVED = 64
@@ -81,11 +81,15 @@ def quantised(vectors: DataFrame, id_name: str = "vec_id", vector_name: str = "e
     """``vec_id`` and integer components ``q`` of the rows that take part.
 
     Left out: NULL ids, NULL vectors, and vectors with a component that is NULL,
-    not finite, or beyond ``LARGEST``. Equal rows count once.
+    or not finite. A component that does not fit 64 bits is an error. Equal rows
+    count once.
     """
     v = F.col(f"`{vector_name}`")
-    bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) > LARGEST))
-    ints = F.transform(F.when(~bad, v), lambda x: F.floor(x.cast("double") * scale))
+    bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    beyond = F.raise_error(F.lit("a vector component does not fit 64 bits")).cast("long")
+    ints = F.transform(
+        F.when(~bad, v), lambda x: F.when(F.abs(x.cast("double") * scale) >= 2.0**63, beyond).otherwise(F.floor(x.cast("double") * scale))
+    )
     return vectors.select(F.col(f"`{id_name}`").alias("vec_id"), ints.alias("q")).where("vec_id is not null and q is not null").distinct()
 
 
@@ -121,9 +125,16 @@ def top_k(
         if found.num_rows and asked.num_rows:
             size = max(max(map(len, t.column("q").to_pylist())) for t in (found, asked))
             vectors, queries = matrix(found, size), matrix(asked, size)
-            lists, ids = SortedLists(vectors), found.column("vec_id").to_numpy()
+            ids, large = found.column("vec_id").to_numpy(), (abs(vectors) > LARGEST * SCALE).any(axis=1)
+            lists = SortedLists(vectors[~large]) if not large.all() else None
             for query_id, query in zip(asked.column("vec_id").to_pylist(), queries, strict=True):
-                for vec_id, score in lists.top(query, k, ids, query_id):
+                exact = np.ones(len(ids), bool) if (abs(query) > LARGEST * SCALE).any() else large
+                best = lists.top(query, k, ids[~large], query_id) if lists and exact is large else []
+                exact = np.flatnonzero(exact & (ids != query_id))
+                if len(exact):
+                    scores = vectors[exact].astype(object) @ query.astype(object)
+                    best = sorted([*best, *zip(ids[exact].tolist(), scores, strict=True)], key=lambda x: (-x[1], x[0]))[:k]
+                for vec_id, score in best:
                     rows["query_id"].append(query_id)
                     rows["vec_id"].append(vec_id)
                     rows["score"].append(score)

@@ -1,5 +1,6 @@
 """Top-k search, SimHash and components against brute force."""
 
+import math
 import random
 
 import numpy as np
@@ -39,6 +40,19 @@ def test_top_k_with_ties_and_odd_vectors(spark):
         assert {k: v for k, v in want.items() if v} == got
 
 
+def test_large_components_take_part(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(0, 0.2, 3).tolist()) for i in range(120)] + [(130, [2.0**21, 1.0, 0.0]), (150, [-(2.0**21), 2.0**20, 0.5]), (151, [3.0e6, -3.0e6, 1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    rows = [(r.vec_id, r.embedding) for r in frame.collect()]
+    ints = {i: [math.floor(256 * x) for x in v] for i, v in rows}
+    for blocks in ((16, 2), (4096, 1024)):
+        got = as_top(topk.top_k(frame, candidate_block=blocks[0], query_block=blocks[1]))
+        for i in (0, 50, 100, 150):
+            scores = sorted(((-sum(a * b for a, b in zip(ints[i], v, strict=True)), j) for j, v in ints.items() if j != i))[:5]
+            assert got[i] == [(n, j, -s) for n, (s, j) in enumerate(scores, 1)]
+
+
 def test_top_k_of_few_or_no_rows(spark):
     frame = spark.createDataFrame([(0, [1.0]), (1, [-1.0]), (2, [0.5])], "vec_id long, embedding array<float>")
     assert as_top(topk.top_k(frame)) == {0: [(1, 2, 32768), (2, 1, -65536)]}
