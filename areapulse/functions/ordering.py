@@ -1,10 +1,9 @@
-"""Exact order statistics without sorting a whole group in one task.
+"""Running sums and exact order statistics without a whole group in one task.
 
-A rank or a median needs the number of rows ahead of a value. Equal values are
-counted together first (with map-side combine), the distinct values of a group
-are cut into value ranges at approximate quantiles, positions are counted inside
-each range, and the range totals, at most ``buckets`` + 1 rows per group, supply
-the offsets. The cut points only balance the work; the positions are exact.
+Rows are range-partitioned once by (group, order), so that a group with a third of
+all rows lies in many partitions. Totals per group and partition, at most as many
+rows as there are groups and partitions together, give what lies ahead of each
+partition; the rest is a window inside one group's part of a partition.
 """
 
 from __future__ import annotations
@@ -13,45 +12,67 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from areapulse.session import stage
 
-LEAST_BUCKETS = 16
+#: How a running value and what lies ahead of its partition become one.
+MERGES = {
+    "sum": lambda ahead, here: F.coalesce(ahead, F.lit(0)) + here,
+    "bit_xor": lambda ahead, here: F.coalesce(ahead, F.lit(0).cast("long")).bitwiseXOR(here),
+}
+RANGE = "_range"
 
 
-def value_positions(
-    df: DataFrame, groups: list[str], value: str, descending: bool = False, buckets: int | None = None
+def in_ranges(df: DataFrame, groups: list[str], order: list[Column], name: str = "ranges") -> DataFrame:
+    """``df`` stored in ranges of (group, order) with the number of each row's range as ``_range``.
+
+    Equal rows share a range. Which range a row falls into is sampled, so the rows
+    are stored before several branches of a plan read them.
+    """
+    keys = [F.col(f"`{g}`").asc() for g in groups]
+    return stage(df.sparkSession, df.repartitionByRange(*keys, *order).withColumn(RANGE, F.spark_partition_id()), name)
+
+
+def running(
+    ranged: DataFrame, groups: list[str], order: list[Column], measures: dict[str, tuple[str, str]], totals: dict[str, str] | None = None,
 ) -> DataFrame:
-    """One row per (group, non-null value): its ``copies``, rows ``before`` it, and the ``size`` of its group.
+    """Rows of :func:`in_ranges` with running values per group, up to and with each row, in a total order.
 
-    A group is cut into ``buckets`` ranges, by default one for each shuffle partition.
+    ``measures`` names a new column and gives the merge and the column it runs
+    over; ``totals`` names columns for the whole group's sum of a measure. Rows
+    with a NULL group are left out.
     """
-    if buckets is None:
-        buckets = max(LEAST_BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    counts = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("copies"))
-    steps = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    # Approximate quantiles differ from one evaluation to the next, so they are fixed before two branches use them.
-    cuts = stage(df.sparkSession, counts.groupBy(*groups).agg(F.percentile_approx(value, steps, 10 * buckets).alias("_cuts")), "value_cuts")
-    ranged = counts.join(cuts, groups).select(
-        *groups, value, "copies",
-        F.size(F.filter("_cuts", lambda cut: cut < F.col(value))).alias("_range"),
-    )
-    order = (lambda name: F.col(name).desc()) if descending else (lambda name: F.col(name).asc())
-    ahead = lambda keys, name: (
-        Window.partitionBy(*keys).orderBy(order(name)).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = (
-        ranged.groupBy(*groups, "_range")
-        .agg(F.sum("copies").alias("_total"))
-        .select(
-            *groups, "_range", F.sum("_total").over(ahead(groups, "_range")).alias("_offset"),
-            F.sum("_total").over(Window.partitionBy(*groups)).alias("size"),
-        )
+    totals = totals or {}
+    merged = lambda how, column: getattr(F, how)(column)
+    parts = ranged.groupBy(*groups, RANGE).agg(*[merged(how, column).alias(name) for name, (how, column) in measures.items()])
+    earlier = Window.partitionBy(*groups).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*groups)
+    ahead = parts.select(
+        *groups, RANGE,
+        *[merged(how, F.col(name)).over(earlier).alias(f"_ahead_{name}") for name, (how, _) in measures.items()],
+        *[F.sum(measure).over(whole).alias(name) for name, measure in totals.items()],
     )
-    inside = ranged.withColumn("_inside", F.sum("copies").over(ahead([*groups, "_range"], value)))
-    return inside.join(offsets, [*groups, "_range"]).select(
-        *groups, value, "copies", "size",
-        (F.coalesce("_offset", F.lit(0)) + F.coalesce("_inside", F.lit(0))).alias("before"),
+    here = Window.partitionBy(*groups, RANGE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return ranged.join(ahead, [*groups, RANGE]).select(
+        *ranged.drop(RANGE).columns, *totals,
+        *[MERGES[how](F.col(f"_ahead_{name}"), merged(how, F.col(f"`{column}`")).over(here)).alias(name) for name, (how, column) in measures.items()],
     )
 
 
+def numbered(df: DataFrame, groups: list[str], order: list[Column], number: str = "position") -> DataFrame:
+    """``df`` with the place of each row in its group, from 0 on; ``order`` must be total but for equal rows."""
+    one = in_ranges(df.withColumn("_one", F.lit(1).cast("long")), groups, order)
+    return running(one, groups, order, {number: ("sum", "_one")}).withColumn(number, F.col(number) - 1).drop("_one")
+
+
+def value_positions(df: DataFrame, groups: list[str], value: str, descending: bool = False) -> DataFrame:
+    """One row per (group, non-null value): its ``copies``, rows ``before`` it, and the ``size`` of its group.
+
+    Equal values are counted together first, with map-side combine.
+    """
+    order = [F.col(value).desc() if descending else F.col(value).asc()]
+    counts = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("copies"))
+    placed = running(in_ranges(counts, groups, order, "values"), groups, order, {"_upto": ("sum", "copies")}, {"size": "_upto"})
+    return placed.select(*groups, value, "copies", "size", (F.col("_upto") - F.col("copies")).alias("before"))
+
+
 def group_medians(df: DataFrame, groups: list[str], value: str) -> DataFrame:
     """Exact median of the non-null values per group, as ``median``."""
     low, high = F.floor((F.col("size") - 1) / 2), F.floor(F.col("size") / 2)
