@@ -284,8 +284,8 @@ check("k5_anomalies", statement(
     ))).where(F.col("dates") != ""))
 
 check("k6_series_tail", statement(
-    "SELECT * FROM trend_norm QUALIFY row_number() OVER (PARTITION BY spatial_label ORDER BY date DESC) <= 12",
-    "spatial_label date", "foot_traffic sales", GOLD + "," + TREND_NORM,
+    "SELECT * FROM trend_norm QUALIFY row_number() OVER (PARTITION BY spatial_label ORDER BY date DESC, spatial_type DESC NULLS LAST) <= 12",
+    "spatial_label spatial_type date", "foot_traffic sales", GOLD + "," + TREND_NORM,
 ))(lambda spark, sf: payloads.tail(tools.series_at(gold(spark, sf), "norm"), ["spatial_label"]))
 
 check("r8_region_payload", statement(

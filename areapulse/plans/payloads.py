@@ -34,8 +34,9 @@ def anomalies(field: str, *columns: str) -> Column:
 
 
 def tail(rows: DataFrame, keys: list[str], size: int = RECENT) -> DataFrame:
-    """The latest rows of each series."""
-    newest = Window.partitionBy(*keys).orderBy(F.desc("date"))
+    """The latest rows of each series; within a date, the later types first."""
+    ties = [F.desc("spatial_type")] if "spatial_type" in rows.columns else []
+    newest = Window.partitionBy(*keys).orderBy(F.desc("date"), *ties)
     return rows.withColumn("_place", F.row_number().over(newest)).where(F.col("_place") <= size).drop("_place")
 
 
