@@ -5,7 +5,9 @@ by value. For a query each list is read from the end that gives the larger
 products, all lists to the same depth, which grows until it suffices. What has
 been read of a candidate and what its unread components can give at least and at
 most bound its score; once no candidate outside a small set can reach the k-th
-best lower bound, the set's scores are resolved and ranked.
+best lower bound, the set's scores are resolved and ranked. The block of the
+longest vectors comes first: its k-th best score is where the bound of all other
+blocks starts.
 """
 
 from __future__ import annotations
@@ -23,8 +25,9 @@ CANDIDATE_BLOCK = 4096
 QUERY_BLOCK = 1024
 #: Components beyond this may not be summed in 64 bits; the scores of their vectors are exact Python integers.
 LARGEST = 1 << 20
-FIRST_DEPTH = 32
-RESOLVED = 64
+#: All lists of a block are read in so many steps at most; so few candidates are resolved without reading on.
+STEPS = 16
+RESOLVED = 256
 
 
 class SortedLists:
@@ -37,41 +40,42 @@ class SortedLists:
         # by direction, component, place
         self.order = np.stack([order, order[:, ::-1]]).astype(np.int32)
         self.values = np.stack([up, up[:, ::-1]])
+        self.usual_depth = 0
+        self.largest = np.abs(up[:, [0, -1]]).max(axis=1).astype(np.float64) if self.rows else np.zeros(self.size)
 
-    def survivors(self, query: np.ndarray, k: int, own: np.ndarray) -> np.ndarray:
-        """The candidates that may be among the ``k`` best; ``own`` ones are left out."""
+    def survivors(self, query: np.ndarray, k: int, own: np.ndarray, floor: float = -np.inf) -> np.ndarray:
+        """The candidates that may be among the ``k`` best and reach ``floor``; ``own`` ones are left out."""
         direction = (query > 0).astype(np.int64)
         parts = np.arange(self.size)
-        least = self.values[direction, parts, -1] * query
         open_to = np.ones(self.rows, bool)
         open_to[own] = False
-        if np.count_nonzero(open_to) <= k:
+        if np.count_nonzero(open_to) <= k or not self.size:
             return np.flatnonzero(open_to)
-        low = np.full(self.rows, int(least.sum()), np.float64)
-        depth = 0
-        read: list[np.ndarray] = []
-        parts_read: list[np.ndarray] = []
-        while depth < self.rows:
-            until = min(self.rows, max(FIRST_DEPTH, 2 * depth))
-            ids = self.order[direction, parts, depth:until]
-            products = self.values[direction, parts, depth:until] * query[:, None]
-            low += np.bincount(ids.ravel(), (products - least[:, None]).ravel(), self.rows)
-            read.append(ids.ravel())
-            parts_read.append(np.repeat(parts, until - depth))
-            depth = until
-            floor = np.partition(low[open_to], -k)[-k]
-            if depth == self.rows:
-                return np.flatnonzero(open_to & (low >= floor))
-            # an unread component gives at most what its list showed last
-            slack = self.values[direction, parts, depth - 1] * query - least
-            unseen = slack.sum() - np.bincount(np.concatenate(read), slack[np.concatenate(parts_read)], self.rows)
-            able = open_to & (low + unseen >= floor)
-            if np.count_nonzero(able) <= max(RESOLVED, k):
-                return np.flatnonzero(able)
-        return np.flatnonzero(open_to)
-
-    def top(self, query: np.ndarray, k: int, ids: np.ndarray, own: int) -> list[tuple[int, int]]:
-        found = self.survivors(query, k, np.flatnonzero(ids == own))
+        factors = query.astype(np.float64)
+        least = self.values[direction, parts, -1] * factors
+        # sums of doubles may be off by far less than this
+        rounding = 1e-12 * float(self.largest @ np.abs(factors))
+        step = -(-self.rows // STEPS)
+        depth = first = min(self.rows, max(step, self.usual_depth))
+        while True:
+            ids = self.order[direction, parts, :depth].ravel()
+            products = self.values[direction, parts, :depth] * factors[:, None]
+            # an unread component gives at most what its list showed last, and at least what the list ends with
+            most = products[:, -1]
+            upper = most.sum() + np.bincount(ids, (products - most[:, None]).ravel(), self.rows)
+            bar = floor
+            if not np.isfinite(floor):
+                lower = least.sum() + np.bincount(ids, (products - least[:, None]).ravel(), self.rows)
+                bar = np.partition(lower[open_to], -k)[-k]
+            able = np.flatnonzero(open_to & (upper >= bar - rounding))
+            if len(able) <= max(RESOLVED, k) or depth == self.rows:
+                # the next query starts where this one could stop, or a step before
+                self.usual_depth = depth - step if depth == first and len(able) < RESOLVED // 4 else depth
+                return able
+            depth = min(self.rows, depth + step)
+
+    def top(self, query: np.ndarray, k: int, ids: np.ndarray, own: int, floor: float = -np.inf) -> list[tuple[int, int]]:
+        found = self.survivors(query, k, np.flatnonzero(ids == own), floor)
         scores = self.vectors[found] @ query
         order = np.lexsort((ids[found], -scores))[:k]
         return list(zip(ids[found][order].tolist(), scores[order].tolist(), strict=True))
@@ -103,22 +107,33 @@ def top_k(
     are all rows with another id. Of equal vectors only the ``k + 1`` smallest
     ids can be in a result, so only these go on. Shorter vectors are filled up
     with zeros. Blocks of queries meet blocks of candidates, ``k`` rows per query
-    leave each meeting.
+    leave each meeting. The block of the longest vectors meets all queries first,
+    and the other blocks only look for what reaches its ``k``-th best score.
     """
     spark = vectors.sparkSession
     stored = stage(spark, quantised(vectors, id_name, vector_name), "quantised")
     nth = F.row_number().over(Window.partitionBy("q").orderBy("vec_id"))
-    candidates = stage(spark, stored.withColumn("_nth", nth).where(F.col("_nth") <= k + 1).drop("_nth"), "candidates")
-    queries = stored.where(F.col("vec_id") % query_divisor == 0)
+    norm = F.aggregate("q", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
+    distinct = stored.withColumn("_nth", nth).where(F.col("_nth") <= k + 1).select("vec_id", "q", norm.alias("norm"))
+    candidates = stage(spark, distinct, "candidates")
+    queries = stage(spark, stored.where(F.col("vec_id") % query_divisor == 0), "queries")
+    longest = stage(spark, candidates.orderBy(F.desc("norm"), "vec_id").limit(candidate_block).select("vec_id"), "longest")
     blocks = max(1, -(-candidates.count() // candidate_block))
     query_blocks = max(1, -(-queries.count() // query_block))
-    left = candidates.select(
-        F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("cb"), F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("qb"), "vec_id", "q"
-    )
-    right = queries.select(
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("cb"),
-        F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).cast("int").alias("qb"), "vec_id", "q",
+    # block 0 is full; what is left is dealt to the others
+    mark = longest.select(F.col("vec_id").alias("_long")).distinct()
+    others = F.lit(0) if blocks == 1 else 1 + F.pmod(F.xxhash64("vec_id"), F.lit(blocks - 1))
+    dealt = candidates.join(mark, F.col("vec_id") == F.col("_long"), "left").select(
+        F.when(F.col("_long").isNotNull(), F.lit(0)).otherwise(others).cast("long").alias("cb"), "vec_id", "q"
     )
+    dealt = stage(spark, dealt, "dealt_candidates")
+    asked = queries.withColumn("qb", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).cast("int"))
+
+    def every(rows: DataFrame, first: int, last: int) -> DataFrame:
+        return rows.withColumn("cb", F.explode(F.sequence(F.lit(first).cast("long"), F.lit(last).cast("long"))))
+
+    left = dealt.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
+    left = left.select("cb", "qb", "vec_id", "q")
 
     def meet(found: pa.Table, asked: pa.Table) -> pa.Table:
         rows = {"query_id": [], "vec_id": [], "score": []}
@@ -127,9 +142,9 @@ def top_k(
             vectors, queries = matrix(found, size), matrix(asked, size)
             ids, large = found.column("vec_id").to_numpy(), (abs(vectors) > LARGEST * SCALE).any(axis=1)
             lists = SortedLists(vectors[~large]) if not large.all() else None
-            for query_id, query in zip(asked.column("vec_id").to_pylist(), queries, strict=True):
+            for query_id, query, floor in zip(asked.column("vec_id").to_pylist(), queries, asked.column("floor").to_pylist(), strict=True):
                 exact = np.ones(len(ids), bool) if (abs(query) > LARGEST * SCALE).any() else large
-                best = lists.top(query, k, ids[~large], query_id) if lists and exact is large else []
+                best = lists.top(query, k, ids[~large], query_id, -np.inf if floor is None else floor) if lists and exact is large else []
                 exact = np.flatnonzero(exact & (ids != query_id))
                 if len(exact):
                     scores = vectors[exact].astype(object) @ query.astype(object)
@@ -140,7 +155,21 @@ def top_k(
                     rows["score"].append(score)
         return pa.table({n: pa.array(v, pa.int64()) for n, v in rows.items()})
 
-    met = left.groupBy("cb", "qb").cogroup(right.groupBy("cb", "qb")).applyInArrow(meet, "query_id long, vec_id long, score long")
+    columns = "query_id long, vec_id long, score long"
+
+    def together(found: DataFrame, queries: DataFrame) -> DataFrame:
+        right = queries.select("cb", "qb", "vec_id", "q", "floor")
+        return found.groupBy("cb", "qb").cogroup(right.groupBy("cb", "qb")).applyInArrow(meet, columns)
+
+    first = every(asked.withColumn("floor", F.lit(None).cast("double")), 0, 0)
+    near = stage(spark, together(left.where("cb = 0"), first).distinct(), "first_scores")
+    if blocks == 1:
+        met = near
+    else:
+        # scores are whole, and below 2^53 where lists are used: the double is the score
+        floors = near.groupBy(F.col("query_id").alias("_query")).agg(F.when(F.count("*") >= k, F.min("score")).cast("double").alias("floor"))
+        rest = every(asked.join(floors, F.col("vec_id") == F.col("_query"), "left"), 1, blocks - 1)
+        met = near.union(together(left.where("cb > 0"), rest).distinct())
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return met.distinct().withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
