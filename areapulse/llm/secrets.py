@@ -28,17 +28,18 @@ def assignment(names: list[str]) -> str:
     return rf"(?:{words})[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 
 
-# Names, prefix, alphabets and least lengths of the base kinds.
+# Names, prefix, alphabets and least lengths of the base kinds. A run that is
+# asked for with its least length is the same maximal run, found without trying shorter ones.
 BASE_NAMES = ["password", "passwd", "secret", "token", "api_key"]
 BASE = [
     ("assign", assignment(BASE_NAMES), 12),
-    ("access", r"(AKIA[A-Z0-9]+)", 18),
-    ("hex", r"([0-9a-f]+)", 16),
+    ("access", r"(AKIA[A-Z0-9]{14,})", 18),
+    ("hex", r"([0-9a-f]{16,})", 16),
 ]
 MORE_NAMES = ["pwd", "bearer", "credential", "private_key", "access_key", "auth_key", "client_key"]
 MORE = [
     ("keyed", assignment(MORE_NAMES), 12),
-    ("opaque", r"([A-Za-z0-9+/_-]+)", 24),
+    ("opaque", r"([A-Za-z0-9+/_-]{24,})", 24),
 ]
 KINDS = [name for name, _, _ in BASE + MORE]
 #: An added candidate has a digit, both cases, and so many different characters.
@@ -51,6 +52,8 @@ SALTS = 16
 
 SPAN = "array<struct<at:long,kind:int,until:long,base:boolean,hash:binary>>"
 _COMPILED = [(re.compile(pattern), least) for _, pattern, least in BASE + MORE]
+#: Kinds that only need to be looked for where one of these names occurs.
+_NAMED = {0: [n.replace("_", "") for n in BASE_NAMES] + BASE_NAMES, 3: [n.replace("_", "") for n in MORE_NAMES] + MORE_NAMES}
 _MIXED = [re.compile(p) for p in ("[0-9]", "[a-z]", "[A-Z]")]
 
 
@@ -62,12 +65,14 @@ def candidates(text: str) -> list[tuple[int, int, int, bool, str]]:
     """(start, kind, end, base, value) of all matches that are long enough; added ones are varied and touch no base match."""
     out: list[tuple[int, int, int, bool, str]] = []
     taken: list[tuple[int, int]] = []
+    lower = text.lower()
     for kind, (pattern, least) in enumerate(_COMPILED):
         base = kind < len(BASE)
         if kind == len(BASE):
             taken = merged(sorted((s, e) for s, _, e, _, _ in out))
+        if kind in _NAMED and not any(name in lower for name in _NAMED[kind]):
+            continue
         for match in pattern.finditer(text):
-            # the least length of an access key and of hexadecimal digits is that of the match, which is the value
             value = match.group(1)
             if len(value) >= least and (base or varied(value) and not overlaps(taken, *match.span())):
                 out.append((match.start(), kind, match.end(), base, value))
