@@ -49,7 +49,7 @@ _staged: dict[str, list[str]] = {}
 
 
 def release(spark: SparkSession) -> int:
-    """Delete the tables that :func:`stage` wrote for this application; the number of them.
+    """Delete the tables that :func:`stage` and others in an :func:`owned_folder` wrote for this application; the number of them.
 
     Frames that read them, and shared tables built from them, must not be used any
     more. Folders that a caller asked for by :func:`new_folder` stay.
@@ -62,6 +62,13 @@ def release(spark: SparkSession) -> int:
     return len(paths)
 
 
+def owned_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared folder that :func:`release` deletes."""
+    path = new_folder(spark, name)
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def stage(spark: SparkSession, df: DataFrame, name: str, sort_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -70,7 +77,6 @@ def stage(spark: SparkSession, df: DataFrame, name: str, sort_by: tuple[str, ...
     Sorting inside the partitions lets row-group statistics prune later reads
     without another shuffle.
     """
-    path = new_folder(spark, name)
-    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    path = owned_folder(spark, name)
     (df.sortWithinPartitions(*sort_by) if sort_by else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
