@@ -12,7 +12,7 @@ from areapulse.llm.common import table
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write_archives(table(spark, sf_dir, "pages"))
-    return warc.read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.read_archives(manifest, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

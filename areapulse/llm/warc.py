@@ -18,7 +18,7 @@ from collections.abc import Iterator
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from areapulse.llm.common import Emitter, open_folder, rows_of
+from areapulse.llm.common import Emitter, give_back, open_folder, rows_of
 from areapulse.session import new_folder, stage
 
 # Fixed values of the format.
@@ -170,7 +170,7 @@ def write_archives(pages: DataFrame, least_bytes: int = 0, date: str = "2024-01-
     """Write one archive per task and return the stored manifest.
 
     The payload is ``html`` in UTF-8, empty for NULL; a NULL ``url`` leaves its
-    header out. Archives of unfinished tasks are never in the manifest.
+    header out. An empty table has no archives. Archives of unfinished tasks are never in the manifest.
     """
     spark = pages.sparkSession
     folder = new_folder(spark, "warc")
@@ -198,16 +198,22 @@ def write_archives(pages: DataFrame, least_bytes: int = 0, date: str = "2024-01-
                     row = next(found, None)
             out.add(name, records, size)
         yield out.take()
+        give_back()
 
     picked = marked.select("page_id", "url", "html", "refers_to")
     return stage(spark, picked.mapInArrow(write, schema), "warc_manifest").withColumn("folder", F.lit(folder))
 
 
-def read_archives(manifest: DataFrame) -> DataFrame:
-    """A row per record; the payload of a revisit is NULL, its size and digest are those of the response."""
+def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
+    """A row per record; the payload of a revisit is NULL, its size and digest are those of the response.
+
+    Without ``payloads`` these are read and checked, but stay in the tasks. A
+    record is held in memory as a whole, so the longest payload bounds a task. No
+    archives give no rows.
+    """
     spark = manifest.sparkSession
     files = manifest.select("folder", "path").repartition(max(1, manifest.count()), "path")
-    schema = spark.createDataFrame([], ROWS).schema
+    schema = spark.createDataFrame([], ROWS if payloads else ROWS.removesuffix(", payload binary")).schema
 
     def read(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -218,13 +224,16 @@ def read_archives(manifest: DataFrame) -> DataFrame:
             with store.open_input_stream(f"{inner}/{path}", compression=None) as stream:
                 for fields, http, payload in read_archive(stream):
                     kind = fields["warc-type"]
-                    out.add(
+                    row = [
                         page_of(fields["warc-record-id"]), fields.get("warc-target-uri"), int(http["content-length"]),
                         fields["warc-payload-digest"].removeprefix("sha1:"), kind, page_of(fields.get("warc-refers-to")),
-                        payload if kind == "response" else None, weight=len(payload),
-                    )
+                    ]
+                    if payloads:
+                        row.append(payload if kind == "response" else None)
+                    out.add(*row, weight=len(payload) if payloads else 0)
                     if out.full:
                         yield out.take()
         yield out.take()
+        give_back()
 
     return files.mapInArrow(read, schema)
