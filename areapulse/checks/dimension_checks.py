@@ -6,7 +6,9 @@ from areapulse.checks.registry import check
 from areapulse.checks.sqltext import GOLD, statement
 from areapulse.functions.text import PROVINCE_NAMES
 from areapulse.operators import dimension as dim_ops, requests as req, spatial, vectors
+from areapulse.session import new_folder
 from areapulse.sources.staging import gold, table
+from areapulse.sources.vectors import VectorIndex
 
 BOUNDARIES = """SELECT CASE WHEN c_acctbal < -500 THEN 'x' || CAST(c_custkey AS STRING) WHEN c_acctbal > 9900 THEN NULL
   ELSE ' ' || CAST(c_custkey AS STRING) END AS A1, ' ' || c_name AS A2 FROM {customer}"""
@@ -158,6 +160,30 @@ def vectors_of(spark, sf):
     return table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), "label")
 
 
+# Requests that are like a stored one but not the same: a stored vector with some of the next one.
+ASKED = "SELECT a.vec_id + 1000000 AS id, a.label, {vector} AS vector FROM {embeddings} a JOIN {embeddings} b ON b.vec_id = a.vec_id + 1 WHERE a.vec_id % 3 = 0"
+
+
+def stored_index(spark, sf):
+    """Built from the even ids, to which the odd ones, and new vectors for some hashes, are added."""
+    rows = vectors_of(spark, sf).withColumn("request_hash", F.sha2(F.col("id").cast("string"), 256))
+    index = VectorIndex(spark, new_folder(spark, "index"), {"label": "int"})
+    stale = rows.where("id % 10 = 0").withColumn("vector", F.reverse("vector")).withColumn("id", F.col("id") - 5_000_000)
+    index.build(rows.where("id % 2 = 0 and id % 10 > 0").union(stale.select(*rows.columns)), lists=20)
+    index.add(rows.where("id % 2 = 1 or id % 10 = 0"))
+    return index
+
+
+check("k7_indexed", statement(f"""
+  SELECT query_id, match_id, similarity, place FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, match_id) AS INTEGER) AS place
+    FROM (SELECT q.id AS query_id, c.vec_id AS match_id, list_cosine_similarity(q.vector, CAST(c.embedding AS DOUBLE[])) AS similarity
+          FROM ({ASKED.format(embeddings='embeddings', vector='list_transform(range(1, 65), lambda i: CAST(CAST(a.embedding[i] AS DOUBLE) + 0.35 * CAST(b.embedding[i] AS DOUBLE) AS DOUBLE))')}) q
+          JOIN embeddings c ON c.label = q.label) WHERE similarity >= 0.92) WHERE place <= 5""",
+    "query_id match_id place", "similarity", ""))(lambda spark, sf: stored_index(spark, sf).lookup(
+        spark.sql(ASKED.format(embeddings="{embeddings}", vector="zip_with(a.embedding, b.embedding, (x, y) -> CAST(x AS DOUBLE) + 0.35D * CAST(y AS DOUBLE))"),
+                  embeddings=table(spark, sf, "embeddings"))).select("query_id", "match_id", "similarity", "place"))
+
+
 # Requests ------------------------------------------------------------------------------------
 
 REQUESTS = """SELECT conv_id, turn, CASE turn WHEN 0 THEN '경기도 성남시 2024-01 부터 2024-03-15 추이 ' WHEN 1 THEN '강남구 20대 여성 비중 2023년 5월 '

@@ -194,7 +194,7 @@ def csv_scan(spark, sf):
 @check("d2_header_and_delimiter", "SELECT ',' AS sep, CAST(13 AS BIGINT) AS n, count(*) AS rows FROM orders")
 def header(spark, sf):
     path = dump(spark, sf, "sales", "header")
-    found = files.layouts(spark, files.collect_files(spark, [path], ["*.csv"]))
+    found = files.layouts(files.list_files(spark, [path], "*.csv"))
     rows = files.read_directory(spark, path).agg(F.count(F.lit(1)).alias("rows"))
     return found.select("sep", F.size("columns").cast("long").alias("n")).distinct().crossJoin(rows)
 
@@ -223,9 +223,9 @@ LAYOUT_SQL = " UNION ALL ".join(
 @check("d2_layout_per_file", LAYOUT_SQL)
 def layout_per_file(spark, sf):
     drops, width = mixed_drops(spark, sf), len(raw_frame(spark, sf, "telco").columns)
-    found = files.layouts(spark, files.collect_files(spark, drops, ["*.csv"]))
+    found = files.layouts(files.list_files(spark, drops, "*.csv"))
     return found.select(
-        F.regexp_extract("source_file", r"mixed(\d)", 1).cast("int").alias("drop"), "sep", (F.size("columns") - width).cast("long").alias("extra"),
+        F.regexp_extract("path", r"mixed(\d)", 1).cast("int").alias("drop"), "sep", (F.size("columns") - width).cast("long").alias("extra"),
         F.when(F.col("columns")[0] == "CRTR_YM", "CRTR_YM").otherwise("last").alias("first"))
 
 
@@ -302,6 +302,22 @@ check("d7_add_demographics", statement(
         upserts.add_demographics(gold(spark, sf).demographics, gold(spark, sf).demographics.where("sex = 'male'")),
         norm.city_unique(raw_frame(spark, sf, "unique")).demographics))
 
+
+def refreshed(spark, sf, domain):
+    """A store refreshed after each of two drops that share months, and offered files of a third that it has not added up yet."""
+    store = IngestStore(spark, new_folder(spark, "store"))
+    for n, where in enumerate(["STD_YM < '199601' AND HCODE < '4444444410'", "STD_YM < '199601' AND HCODE >= '4444444410'", "STD_YM >= '199601'"]):
+        store.ingest(domain, [dump(spark, sf, domain, domain, ",", where)], "*.csv")
+        if n < 2:
+            store.refresh()
+    return store
+
+
+check("d6_refreshed_activity", statement(ACTIVITY_SQL["pcell_sex_age"], KEYS, MEASURES, ""))(
+    lambda spark, sf: refreshed(spark, sf, "pcell_sex_age").activity())
+check("d7_refreshed_demographics", statement(DEMOGRAPHICS_SQL["pcell_sex_age"], KEYS + " sex age_group", "value", ""))(
+    lambda spark, sf: refreshed(spark, sf, "pcell_sex_age").demographics())
+
 BATCH = """SELECT lpad(CAST(c_nationkey AS STRING), 5, '0') || '_' || CASE WHEN c_acctbal < 0 THEN 'NEW' ELSE c_mktsegment END AS spatial_key,
   c_name AS spatial_label, CASE WHEN c_acctbal > 100 THEN 'coord' END AS spatial_type, CAST(c_custkey AS STRING) AS code,
   c_acctbal AS lat, c_acctbal + 1 AS lon, c_custkey AS pos FROM {customer}"""

@@ -161,6 +161,31 @@ check("w11_dynamic_baseline", statement("""
     "duration", (1 + F.floor(F.dayofmonth("_date") / 8)).cast("long")), "duration").select(
         "source", "spatial_key", "time_key", "duration", "baseline"))
 
+ONE_PLACE = """SELECT 'sales' AS source, 'all' AS spatial_key, CAST(event_id AS STRING) AS time_key, ts AS _date, value AS current,
+  1 + event_id % 10000 AS duration FROM {events}"""
+
+
+def one_place(spark, sf):
+    """All events as the history of one place."""
+    return spark.sql(ONE_PLACE, events=table(spark, sf, "events"))
+
+
+check("w11_long_durations", statement(f"""
+  SELECT time_key, duration, CASE WHEN rn = 1 AND duration = 1 THEN current WHEN rn > duration THEN
+    sum(current) OVER (ORDER BY rn ROWS BETWEEN duration PRECEDING AND 1 PRECEDING) / duration END AS baseline
+  FROM (SELECT *, row_number() OVER (ORDER BY _date, time_key) AS rn FROM ({ONE_PLACE.format(events='events')}))""",
+    "time_key duration", "baseline", "",
+))(lambda spark, sf: series.dynamic_baseline(one_place(spark, sf), "duration").select("time_key", "duration", "baseline"))
+
+check("w13_one_place", statement(f"""
+  SELECT time_key, CASE WHEN count(*) OVER w >= 2 THEN stddev_pop(current) OVER w / nullif(avg(current) OVER w, 0) END AS volatility,
+    CASE WHEN count(*) OVER b = 3 THEN avg(current) OVER b END AS baseline
+  FROM ({ONE_PLACE.format(events='events')})
+  WINDOW w AS (ORDER BY _date, time_key ROWS UNBOUNDED PRECEDING), b AS (ORDER BY _date, time_key ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)""",
+    "time_key", "volatility baseline", "",
+))(lambda spark, sf: series.volatility(series.blocks_of(one_place(spark, sf), before=3, rows=512), "current").withColumn(
+    "baseline", series.trailing_mean("current", 3)).where("not _halo").select("time_key", "volatility", "baseline"))
+
 check("w12_uplift_and_rate", statement("SELECT * FROM metrics", "source spatial_key time_key", "uplift rate_of_change", RECORDS))(
     lambda spark, sf: series.domain_metrics(normal_records(spark, sf)).select("source", "spatial_key", "time_key", "uplift", "rate_of_change"))
 

@@ -36,22 +36,25 @@ def running(
     """Rows of :func:`in_ranges` with running values per group, up to and with each row, in a total order.
 
     ``measures`` names a new column and gives the merge and the column it runs
-    over; ``totals`` names columns for the whole group's sum of a measure. Rows
-    with a NULL group are left out.
+    over; ``totals`` names columns for the whole group's sum of a measure.
     """
     totals = totals or {}
     merged = lambda how, column: getattr(F, how)(column)
-    parts = ranged.groupBy(*groups, RANGE).agg(*[merged(how, column).alias(name) for name, (how, column) in measures.items()])
-    earlier = Window.partitionBy(*groups).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*groups)
+    columns = [c for c in ranged.columns if c != RANGE]
+    # equal structs may hold NULLs, so that a NULL group is met like any other
+    rows = ranged.select(F.struct(*groups).alias("_group"), RANGE, *[c for c in columns if c not in groups])
+    keys = ["_group", RANGE]
+    parts = rows.groupBy(*keys).agg(*[merged(how, column).alias(name) for name, (how, column) in measures.items()])
+    earlier = Window.partitionBy("_group").orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("_group")
     ahead = parts.select(
-        *groups, RANGE,
+        *keys,
         *[merged(how, F.col(name)).over(earlier).alias(f"_ahead_{name}") for name, (how, _) in measures.items()],
         *[F.sum(measure).over(whole).alias(name) for name, measure in totals.items()],
     )
-    here = Window.partitionBy(*groups, RANGE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return ranged.join(ahead, [*groups, RANGE]).select(
-        *ranged.drop(RANGE).columns, *totals,
+    here = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.join(ahead, keys).select(
+        *[F.col(f"_group.{c}").alias(c) if c in groups else F.col(c) for c in columns], *totals,
         *[MERGES[how](F.col(f"_ahead_{name}"), merged(how, F.col(f"`{column}`")).over(here)).alias(name) for name, (how, column) in measures.items()],
     )
 
@@ -62,6 +65,23 @@ def numbered(df: DataFrame, groups: list[str], order: list[Column], number: str
     return running(one, groups, order, {number: ("sum", "_one")}).withColumn(number, F.col(number) - 1).drop("_one")
 
 
+def in_blocks(df: DataFrame, groups: list[str], order: list[Column], rows: int, before: int) -> DataFrame:
+    """``df`` in blocks of at most ``rows`` rows of a group that follow each other, with ``_block`` and ``_halo``.
+
+    The last ``before`` rows of a block also come, marked by ``_halo``, with the
+    next one, so that a window inside a block sees that many rows back.
+    """
+    if before > rows:
+        raise ValueError("a window may not reach back further than a block")
+    placed = numbered(df, groups, order, "_place")
+    number, at = F.floor(F.col("_place") / rows).cast("long"), F.pmod(F.col("_place"), F.lit(rows))
+    copies = F.array(F.struct(number.alias("_block"), F.lit(False).alias("_halo")))
+    if before:
+        again = F.array(F.struct((number + 1).alias("_block"), F.lit(True).alias("_halo")))
+        copies = F.when(at >= rows - before, F.concat(copies, again)).otherwise(copies)
+    return placed.select(*df.columns, "_place", F.inline(copies))
+
+
 def value_positions(df: DataFrame, groups: list[str], value: str, descending: bool = False) -> DataFrame:
     """One row per (group, non-null value): its ``copies``, rows ``before`` it, and the ``size`` of its group.
 

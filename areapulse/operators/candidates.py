@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from copy import copy
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window, functions as F
 
 from areapulse.functions.numbers import change, correlation, ratio, slope, zscore
 from areapulse.functions.ordering import value_positions
-from areapulse.operators.rollups import LEVELS, monthly, monthly_trend, trend
+from areapulse.operators.rollups import LEVELS, monthly, trend_levels
 from areapulse.session import stage
 
 COLUMNS = [
@@ -54,40 +51,37 @@ def series_columns(base: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return standardise(with_lags, keys)
 
 
-def date_averages(base: DataFrame) -> DataFrame:
+def date_averages(base: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Mean of each measure over all labels of a date, with non-null counts."""
     stats = []
     for column, short in SHORT.items():
         stats += [F.avg(column).alias(f"{short}_avg_date"), F.count(column).alias(f"_{short}_known")]
-    return base.groupBy("date").agg(*stats)
+    return base.groupBy(*(by or ["date"])).agg(*stats)
 
 
 def with_date_averages(base: DataFrame) -> DataFrame:
     return base.join(date_averages(base), "date").drop("_ft_known", "_sales_known")
 
 
-def with_date_columns(rows: DataFrame, base: DataFrame) -> DataFrame:
+def with_date_columns(rows: DataFrame, base: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Mean and rank of both measures per date, without gathering a date in one window.
 
     Means and counts are aggregates, and ranks are positions in the value counts
     of the date (see :mod:`areapulse.functions.ordering`). Missing values share
-    the rank after the last known one.
+    the rank after the last known one. ``by`` names what is compared with each
+    other, a date by default.
     """
-    measures = base.unpivot("date", list(SHORT), "_measure", "_value")
-    positions = value_positions(measures, ["_measure", "date"], "_value", descending=True)
-    ranked = rows.join(date_averages(base), "date")
+    by = by or ["date"]
+    measures = base.unpivot(by, list(SHORT), "_measure", "_value")
+    positions = value_positions(measures, ["_measure", *by], "_value", descending=True)
+    ranked = rows.join(date_averages(base, by), by)
     for column, short in SHORT.items():
         place = positions.where(F.col("_measure") == column).select(
-            F.col("date").alias("_date"), F.col("_value"), (F.col("before") + 1).alias("_place")
+            *by, F.col("_value").alias(column), (F.col("before") + 1).alias("_place")
         )
-        match = (F.col("date") == F.col("_date")) & (F.col(column) == F.col("_value"))
         rank = F.coalesce("_place", F.col(f"_{short}_known") + 1).cast("long")
-        ranked = (
-            ranked.join(place, match, "left")
-            .withColumn(f"{short}_rank", rank)
-            .drop("_date", "_value", "_place")
-        )
-    return ranked.drop("_ft_known", "_sales_known")
+        ranked = ranked.join(place, [*by, column], "left").withColumn(f"{short}_rank", rank).drop("_place")
+    return ranked.select(*rows.columns, *[f"{s}_{what}" for s in SHORT.values() for what in ("avg_date", "rank")])
 
 
 def demographic_base(demographics: DataFrame, dim: DataFrame) -> DataFrame:
@@ -127,42 +121,34 @@ def dominant_groups(demographics: DataFrame, dim: DataFrame) -> DataFrame:
     )
 
 
-def candidates(gold, level: str, dedupe: bool | None = None) -> DataFrame:
-    """The 24 candidate columns at ``norm``, ``emd`` (units only), ``sig`` or ``sido``."""
-    if level not in (*LEVELS, "emd"):
-        raise ValueError("level must be one of: norm, emd, sig, sido")
+def candidates_of(gold, levels: tuple[str, ...], dedupe: bool | None = None) -> DataFrame:
+    """The candidate columns of all ``levels`` with ``level``: one roll-up, one set of ranks and series for all."""
+    spark = gold.activity.sparkSession
+    base = trend_levels(gold, levels, dedupe).select("level", "spatial_label", "spatial_type", "date", "foot_traffic", "sales")
     # Ranks, means and series all start from the roll-up, so it is computed once.
-    base = trend(gold, level, dedupe).select("spatial_label", "spatial_type", "date", "foot_traffic", "sales")
-    base = stage(base.sparkSession, base, f"trend_{level}", ("date",))
-    rows = with_date_columns(series_columns(base), base)
-    if level in ("norm", "emd"):
-        rows = rows.join(dominant_groups(gold.demographics, gold.dim), ["spatial_label", "date"], "left")
+    base = stage(spark, base, "trend_levels", ("date",))
+    rows = with_date_columns(series_columns(base, ["level", "spatial_label"]), base, ["level", "date"])
+    units = [level for level in levels if level in ("norm", "emd")]
+    if units:
+        # districts and provinces have no leading group
+        leaders = dominant_groups(gold.demographics, gold.dim).withColumn("level", F.explode(F.array(*map(F.lit, units))))
+        rows = rows.join(leaders, ["level", "spatial_label", "date"], "left")
     else:
         rows = rows.withColumns({
             "dominant_group": F.lit(None).cast("string"),
             "dominant_share": F.lit(None).cast("double"),
         })
-    return rows.select(*COLUMNS)
-
+    return rows.select("level", *COLUMNS)
 
-def summed(gold, dedupe: bool | None = None):
-    """The shared tables with the facts already added up per key and month, stored once.
 
-    Without ``dedupe`` the number of source rows counts, so the facts stay.
-    """
-    if not (getattr(gold, "dedupe", True) if dedupe is None else dedupe):
-        return gold
-    sums = monthly_trend(gold.activity).withColumns({"granularity": F.lit("month"), "source": F.lit("all")})
-    tables = copy(gold)
-    tables.activity = stage(gold.activity.sparkSession, sums, "monthly_sums", ("date",))
-    return tables
+def candidates(gold, level: str, dedupe: bool | None = None) -> DataFrame:
+    """The 24 candidate columns at ``norm``, ``emd`` (units only), ``sig`` or ``sido``."""
+    return candidates_of(gold, (level,), dedupe).select(*COLUMNS)
 
 
 def candidates_all(gold, levels: tuple[str, ...] = LEVELS, dedupe: bool | None = None) -> DataFrame:
     """Candidates of several levels under one another, with their ``level``."""
-    gold = summed(gold, dedupe)
-    parts = [candidates(gold, lv, dedupe).select(F.lit(lv).alias("level"), *COLUMNS) for lv in levels]
-    return reduce(DataFrame.unionByName, parts)
+    return candidates_of(gold, levels, dedupe)
 
 
 def advanced(rows: DataFrame) -> DataFrame:
@@ -181,11 +167,8 @@ def advanced(rows: DataFrame) -> DataFrame:
 
 def advanced_input(gold, levels: tuple[str, ...] = LEVELS, dedupe: bool | None = None) -> DataFrame:
     """The candidate columns that :func:`advanced` reads, without ranks and leaders."""
-    parts, gold = [], summed(gold, dedupe)
-    for level in levels:
-        base = trend(gold, level, dedupe).select("spatial_label", "date", "foot_traffic", "sales")
-        parts.append(standardise(base, ["spatial_label"]).withColumn("level", F.lit(level)))
-    return reduce(DataFrame.unionByName, parts)
+    base = trend_levels(gold, levels, dedupe).select("level", "spatial_label", "date", "foot_traffic", "sales")
+    return standardise(base, ["level", "spatial_label"])
 
 
 def with_advanced(rows: DataFrame, measures: DataFrame, by_level: bool = True) -> DataFrame:
@@ -193,9 +176,3 @@ def with_advanced(rows: DataFrame, measures: DataFrame, by_level: bool = True) -
     if by_level:
         return rows.join(measures, ["level", "spatial_label"], "left")
     return rows.join(measures.drop("level"), "spatial_label", "left")
-
-
-def save_advanced(measures: DataFrame, path: str) -> DataFrame:
-    """Write a new version of the advanced measures and read it back."""
-    measures.write.mode("overwrite").parquet(path)
-    return measures.sparkSession.read.schema(measures.schema).parquet(path)

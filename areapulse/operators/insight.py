@@ -40,19 +40,15 @@ def correlation_strength(value: Column) -> Column:
 def with_correlation(buckets: DataFrame) -> DataFrame:
     """Correlation of foot traffic and sales over all buckets of a place, on each of them.
 
-    A place has one bucket per time, so the window is bounded by the calendar.
+    Places are added up first and met by their buckets, so that none is one task's.
     """
-    whole = Window.partitionBy("spatial_key")
     both = F.col("foot_traffic").isNotNull() & F.col("sales").isNotNull()
     y, x = F.when(both, F.col("foot_traffic")), F.when(both, F.col("sales"))
-    spread = F.sqrt(F.regr_sxx(y, x).over(whole) * F.regr_syy(y, x).over(whole))
-    r = F.try_divide(F.regr_sxy(y, x).over(whole), spread)
-    return (
-        buckets.withColumns({"sample_size": F.count(y).over(whole), "_r": r})
-        .withColumn("correlation", F.when(F.col("sample_size") >= 3, F.col("_r")))
-        .withColumn("interpretation", correlation_strength(F.col("correlation")))
-        .drop("_r")
+    places = buckets.groupBy(F.col("spatial_key").alias("_place")).agg(
+        F.count(y).alias("sample_size"), F.when(F.count(y) >= 3, correlation(y, x)).alias("correlation")
     )
+    met = buckets.join(places, F.col("spatial_key").eqNullSafe(F.col("_place")), "left").drop("_place")
+    return met.withColumn("interpretation", correlation_strength(F.col("correlation")))
 
 
 def place_correlation(buckets: DataFrame) -> DataFrame:

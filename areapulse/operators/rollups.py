@@ -7,6 +7,8 @@ Spark does that itself where the measured size allows it.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from areapulse.functions.numbers import change, ratio
@@ -192,3 +194,66 @@ def trend(gold, level: str, dedupe: bool | None = None) -> DataFrame:
     if level in ("sig", "sido"):
         return trend_admin(gold.activity, gold.dim, gold.admin_sig, level, dedupe)
     raise ValueError("level must be one of: norm, emd, sig, sido")
+
+
+def level_names(dim: DataFrame, admin_sig: DataFrame, levels: tuple[str, ...]) -> DataFrame:
+    """``spatial_key`` of every dimension row, and ``names``: its label and type at each level."""
+    by_code = admin_sig.select(F.col("sig_code").alias("_sig_code"), *[F.col(f"{n}_name").alias(f"_{n}_by_code") for n in ("sig", "sido")])
+    by_name = admin_sig.groupBy(F.col("sig_name").alias("_sig_name")).agg(
+        *[F.min_by(f"{n}_name", "sig_code").alias(f"_{n}_by_label") for n in ("sig", "sido")]
+    )
+    rows = (
+        dim.select("spatial_key", F.col("spatial_label").alias("_label"), F.col("spatial_type").alias("_type"), "code")
+        .join(by_code, F.substring("code", 1, 5) == F.col("_sig_code"), "left")
+        .join(by_name, F.col("_label") == F.col("_sig_name"), "left")
+    )
+    admin = {n: F.coalesce(f"_{n}_by_code", f"_{n}_by_label", "_label", "spatial_key") for n in ("sig", "sido")}
+    return rows.select("spatial_key", F.array(*[
+        F.struct(
+            F.lit(level).alias("level"), (admin[level] if level in admin else F.col("_label")).alias("spatial_label"),
+            (F.lit(level) if level in admin else F.col("_type")).alias("spatial_type"),
+        )
+        for level in levels
+    ]).alias("names"))
+
+
+def with_levels(facts: DataFrame, dim: DataFrame, admin_sig: DataFrame, levels: tuple[str, ...]) -> DataFrame:
+    """Facts once for each level, with ``level``, label and type; what the dimension does not name is named by its key.
+
+    Names are found per dimension row and met by key in one join, whatever the
+    number of levels; a key that is only a label of the dimension takes its type.
+    """
+    named = level_names(dim, admin_sig, levels)
+    by_label = dim.where(F.col("spatial_label").isNotNull()).groupBy(F.col("spatial_label").alias("_as_label")).agg(
+        F.min_by("spatial_type", "spatial_key").alias("_label_type")
+    )
+    unnamed = F.array(*[
+        F.struct(
+            F.lit(level).alias("level"), F.lit(None).cast("string").alias("spatial_label"),
+            F.lit(level if level in ("sig", "sido") else None).cast("string").alias("spatial_type"),
+        )
+        for level in levels
+    ])
+    joined = facts.join(named, "spatial_key", "left").join(by_label, F.col("spatial_key") == F.col("_as_label"), "left")
+    rows = joined.select(*facts.columns, "_label_type", F.inline(F.coalesce("names", unnamed)))
+    out = rows.select(
+        *facts.columns, "level", F.coalesce("spatial_label", "spatial_key").alias("spatial_label"),
+        F.coalesce("spatial_type", "_label_type").alias("spatial_type"),
+    )
+    return out.where((F.col("level") != "emd") | (F.col("spatial_type") == "emd"))
+
+
+def trend_levels(gold, levels: tuple[str, ...] = LEVELS, dedupe: bool | None = None) -> DataFrame:
+    """Monthly trends of several levels, told apart by ``level``, from one pass over the facts.
+
+    Where names fan out (``dedupe=False``), each level weights the facts by its
+    own names and is rolled up by itself.
+    """
+    for level in levels:
+        if level not in (*LEVELS, "emd"):
+            raise ValueError("level must be one of: norm, emd, sig, sido")
+    if not (getattr(gold, "dedupe", True) if dedupe is None else dedupe):
+        parts = [trend(gold, level, False).withColumn("level", F.lit(level)) for level in levels]
+        return reduce(DataFrame.unionByName, parts)
+    sums = monthly_trend(gold.activity)
+    return with_levels(sums, gold.dim, gold.admin_sig, levels).groupBy("level", "spatial_label", "spatial_type", "date").agg(*_sums(*MEASURES))

@@ -5,16 +5,19 @@ They are parsed once, by the layout of each file, into a columnar copy that the
 fact rows and places are made from. A run writes its fact rows to a folder of its own and appends to the log last, so a
 run that dies half-way leaves rows that nobody reads. The state of the fact
 tables is the sum over the committed rows; because those keep the file they came
-from, a changed file can either add to or replace its earlier version.
+from, a changed file can either add to or replace its earlier version. ``refresh``
+keeps that sum stored by month, in versions, and rewrites only months that changed.
 """
 
 from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
 
 from areapulse.operators.domains import FILE_PATTERNS
 from areapulse.operators.normalize import NORMALISERS
@@ -24,8 +27,13 @@ from areapulse.schemas import (
 from areapulse.session import stage
 from areapulse.sources.files import concat, list_files, read_layouts
 from areapulse.sources.upserts import fill_spatial
+from areapulse.sources.versions import Version, VersionedTables
 
 FILE_KEY = ["source", "path", "mtime", "size"]
+PAIR = ["batch_id", "source_file"]
+PAIRS = StructType().add("batch_id", "string").add("source_file", "string")
+#: Key and measures of the fact tables that a refresh keeps added up.
+FACTS = {"activity": (GOLD_ACTIVITY, ACTIVITY_KEY, MEASURES), "demographics": (GOLD_DEMOGRAPHICS, DEMOGRAPHICS_KEY, ["value"])}
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -63,9 +71,7 @@ class IngestStore:
         left out and stay new; ``unreadable`` names them.
         """
         listed = stage(self.spark, files, "new_files")
-        # Spark's reader takes its paths from the driver
-        paths = sorted(r["read_path"] for r in listed.select("read_path").toLocalIterator())
-        found = read_layouts(self.spark, paths) if paths else []
+        found = read_layouts(listed)
         frames = [(df, names) for df, names in found if not self._fault(source, df, granularity)]
         if not frames:
             return 0
@@ -81,8 +87,7 @@ class IngestStore:
     def unreadable(self, source: str, directories: list[str], pattern: str | None = None, granularity: str = "month") -> DataFrame:
         """``path`` and ``reason`` of the new files that an ingest leaves out."""
         listed = stage(self.spark, self.new_files(source, directories, pattern or FILE_PATTERNS[source]), "new_files")
-        paths = sorted(r["read_path"] for r in listed.select("read_path").toLocalIterator())
-        found = read_layouts(self.spark, paths) if paths else []
+        found = read_layouts(listed)
         faults = [(name, self._fault(source, df, granularity)) for df, names in found for name in names]
         known = self.spark.createDataFrame(faults, "path string, reason string")
         return listed.select("path").join(known, "path", "left").select(
@@ -119,19 +124,74 @@ class IngestStore:
         log = log.withColumn("_place", F.row_number().over(newest)).where(F.col("_place") == 1)
         return log.select("batch_id", F.col("path").alias("source_file")).distinct()
 
-    def _rows(self, name: str, schema, replace: bool) -> DataFrame:
-        stored = schema.add("source_file", "string").add("batch_id", "string")
-        return _read_or_empty(self.spark, f"{self.root}/{name}", stored).join(
-            self.committed(replace), ["batch_id", "source_file"], "left_semi"
-        )
+    def _rows(self, name: str, schema, pairs: DataFrame) -> DataFrame:
+        """Stored rows of the given (batch, file) pairs."""
+        stored = _copy(schema).add("source_file", "string").add("batch_id", "string")
+        return _read_or_empty(self.spark, f"{self.root}/{name}", stored).join(pairs, PAIR, "left_semi")
+
+    def _state(self, replace: bool) -> VersionedTables:
+        return VersionedTables(self.spark, f"{self.root}/state-{'newest' if replace else 'all'}")
+
+    def _changes(self, replace: bool, version: Version) -> tuple[DataFrame, DataFrame]:
+        """Committed pairs that a version of the state does not hold yet, and pairs it holds that no longer count."""
+        current, held = self.committed(replace), self._state(replace).read("pairs", PAIRS, version)
+        return current.join(held, PAIR, "left_anti"), held.join(current, PAIR, "left_anti")
+
+    def refresh(self, replace: bool = False) -> int:
+        """Bring the added-up state up to date with the log; the number of fact parts that were written.
+
+        The state is stored by month. Rows that came are added to the stored sums of
+        their months, months of rows that no longer count are added up anew, and the
+        folders of all other months stay as they are. Both fact tables, and the pairs
+        they hold, change with one publication; readers go on with what they opened.
+        """
+        state = self._state(replace)
+        base = state.version()
+        added, retired = (stage(self.spark, x, "pairs") for x in self._changes(replace, base))
+        if not added.limit(1).count() and not retired.limit(1).count():
+            return 0
+        changes: dict[str, dict[str, str | None]] = {}
+        for name, (schema, keys, measures) in FACTS.items():
+            month = F.date_format("date", "yyyy-MM")
+            came = stage(self.spark, self._rows(name, schema, added).withColumn("_month", month), f"added_{name}")
+            gone = [r["_month"] for r in self._rows(name, schema, retired).select(month.alias("_month")).distinct().collect()]
+            grown = sorted({r["_month"] for r in came.select("_month").distinct().collect()} - set(gone))
+            stored = state.read(name, schema, base, grown).withColumn("_month", month)
+            parts = [stored, came.where(F.col("_month").isin(grown)).select(*stored.columns)]
+            if gone:
+                again = self._rows(name, schema, self.committed(replace)).withColumn("_month", month)
+                parts.append(again.where(F.col("_month").isin(gone)).select(*stored.columns))
+            rows = reduce(DataFrame.unionByName, parts).groupBy(*keys, "_month").agg(*[F.sum(m).alias(m) for m in measures])
+            written = state.write(name, rows.select(*schema.names, "_month").repartition("_month", "spatial_key"), "_month")
+            changes[name] = {**dict.fromkeys(gone), **written}
+        pairs = state.write("pairs", added.withColumn("_held", F.lit(uuid.uuid4().hex)), "_held")
+        if retired.limit(1).count():
+            kept = state.read("pairs", PAIRS, base).join(retired, PAIR, "left_anti").unionByName(added)
+            pairs = {**dict.fromkeys(base.parts.get("pairs", {})), **state.write("pairs", kept.withColumn("_held", F.lit(uuid.uuid4().hex)), "_held")}
+        state.publish(base, {**changes, "pairs": pairs})
+        return sum(folder is not None for name in FACTS for folder in changes[name].values())
+
+    def _facts(self, name: str, replace: bool) -> DataFrame:
+        """Stored sums, with what came since the last refresh added; without a fitting state, the sum of all committed rows."""
+        schema, keys, measures = FACTS[name]
+        state = self._state(replace)
+        version = state.version()
+        sums = [F.sum(m).alias(m) for m in measures]
+        if not version.number:
+            return self._rows(name, schema, self.committed(replace)).groupBy(*keys).agg(*sums)
+        added, retired = self._changes(replace, version)
+        if retired.limit(1).count():
+            return self._rows(name, schema, self.committed(replace)).groupBy(*keys).agg(*sums)
+        stored = state.read(name, schema, version)
+        if not added.limit(1).count():
+            return stored
+        return stored.unionByName(self._rows(name, schema, added).select(*schema.names)).groupBy(*keys).agg(*sums)
 
     def activity(self, replace: bool = False) -> DataFrame:
-        rows = self._rows("activity", _copy(GOLD_ACTIVITY), replace)
-        return rows.groupBy(*ACTIVITY_KEY).agg(*[F.sum(m).alias(m) for m in MEASURES])
+        return self._facts("activity", replace)
 
     def demographics(self, replace: bool = False) -> DataFrame:
-        rows = self._rows("demographics", _copy(GOLD_DEMOGRAPHICS), replace)
-        return rows.groupBy(*DEMOGRAPHICS_KEY).agg(F.sum("value").alias("value"))
+        return self._facts("demographics", replace)
 
     def spatial(self) -> DataFrame:
         """The dimension: first known value per key and column over the committed batches."""
@@ -153,9 +213,8 @@ class IngestStore:
         for good, as ``replace`` says.
         """
         batch_id = f"compact-{uuid.uuid4().hex}"
-        tables = {"activity": _copy(GOLD_ACTIVITY), "demographics": _copy(GOLD_DEMOGRAPHICS)}
-        for name, schema in tables.items():
-            rows = self._rows(name, schema, replace).drop("batch_id")
+        for name, (schema, _, _) in FACTS.items():
+            rows = self._rows(name, schema, self.committed(replace)).drop("batch_id")
             rows.write.mode("overwrite").parquet(f"{self.root}/{name}/batch_id={batch_id}")
         self.spatial().write.mode("overwrite").parquet(f"{self.root}/spatial/batch_id={batch_id}")
         entries = self.log().select(*FILE_KEY).distinct().withColumns(

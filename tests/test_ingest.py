@@ -22,13 +22,35 @@ def put(folder, name, text, bom=False):
 def test_scan_skips_missing_folders_and_reads_bars_and_marks(spark, rows, tmp_path):
     folder = put(tmp_path / "in", "a.csv", TELCO.replace(",", "|") + "202401|1|11680|3|4\n", bom=True)
     paths = files.collect_files(spark, [folder, str(tmp_path / "absent")], ["*.csv"])
-    assert len(paths) == 1 and [r["columns"][0] for r in files.layouts(spark, paths).collect()] == ["CRTR_YM"]
+    assert len(paths) == 1 and [r["columns"][0] for r in files.layouts(files.listing(spark, paths)).collect()] == ["CRTR_YM"]
     got = norm.telco(files.read_csv(spark, paths)).activity
     assert rows(got, "spatial_key", "date", "foot_traffic") == [("11680", D(2024, 1, 1), 7.0)]
     with pytest.raises(FileNotFoundError):
         files.read_csv(spark, [])
 
 
+def test_heads_are_two_kilobytes_and_quoted_headers_may_break(spark, rows, tmp_path, monkeypatch):
+    folder = put(tmp_path / "in", "a.csv", 'CRTR_YM,"DAY\nCNT",VST_SGG_CD,ML_VST_PPLTN_1\n202401,1,11680,3\n', bom=True)
+    # the first line alone looks like commas
+    put(tmp_path / "in", "b.csv", "CRTR_YM|a,b|VST_SGG_CD|ML_VST_PPLTN_1\n202401|1|11680|10\n202401|2|11680|20\n")
+    put(tmp_path / "in", "c.csv", ",".join(["CRTR_YM,VST_SGG_CD"] + [f"ML_VST_PPLTN_{i:040}" for i in range(90)]) + "\n202401,11680" + ",1" * 90 + "\n" + "202402,1\n" * 5000)
+    listed = files.list_files(spark, [folder], "*.csv")
+    heads = {r["path"][-5:]: r["head"] for r in files.heads(listed).collect()}
+    assert len(heads["c.csv"].encode()) == 3 * files.SAMPLE_BYTES
+    found = {r["path"][-5:]: r for r in files.layouts(listed).collect()}
+    assert found["a.csv"]["columns"] == ["CRTR_YM", "DAY\nCNT", "VST_SGG_CD", "ML_VST_PPLTN_1"] and found["a.csv"]["lines"] == 2
+    assert (found["b.csv"]["sep"], len(found["b.csv"]["columns"]), len(found["c.csv"]["columns"])) == ("|", 4, 92)
+    store = IngestStore(spark, str(tmp_path / "store"))
+    assert store.ingest("telco", [folder], "*.csv") == 3
+    assert rows(store.activity().where("spatial_key = '11680'"), "foot_traffic") == [(123.0,)]
+
+
+def test_layouts_of_odd_heads():
+    assert files.layout_of("") is None and files.layout_of("\n a,b\n") is None
+    assert files.layout_of('a"b,c\nd,e\n').columns == ('a"b', "c")
+    assert files.layout_of("a;b;c").sep == ";"
+
+
 def test_unclear_delimiters(spark):
     assert files.detect_delimiter([]) == ","
     assert files.detect_delimiter(["a|b", "c|d"]) == "|"

@@ -69,6 +69,31 @@ def test_dynamic_baseline_follows_the_duration(spark, rows):
     assert rows(alone, "baseline") == [(1.0,)]
 
 
+def test_long_series_are_several_tasks_work(spark, rows):
+    import random
+    import statistics
+
+    random.seed(6)
+    values = [random.uniform(1, 9) + 1e6 for _ in range(900)]
+    line = [("sales", place, dt.date(2020, 1, 1) + dt.timedelta(days=n), f"{n:04}", v, 1 + n * 7 % 300) for place in ("a", None) for n, v in enumerate(values)]
+    frame = spark.createDataFrame(line, "source string, spatial_key string, _date date, time_key string, current double, n long").repartition(5)
+    blocks = series.blocks_of(frame, before=3, rows=100)
+    assert blocks.where("not _halo").count() == 1800 and blocks.select("spatial_key", "_block").distinct().count() >= 16
+    got = series.volatility(blocks, "current").withColumn("baseline", series.trailing_mean("current", 3)).where("not _halo")
+    for place in ("a", None):
+        mine = sorted((r for r in got.collect() if r["spatial_key"] == place), key=lambda r: r["time_key"])
+        assert [r["volatility"] for r in mine[:1]] == [None]
+        for n in (1, 2, 99, 100, 101, 350, 899):
+            assert mine[n]["volatility"] == pytest.approx(statistics.pstdev(values[: n + 1]) / statistics.fmean(values[: n + 1]), rel=1e-5)
+            assert mine[n]["baseline"] == (pytest.approx(statistics.fmean(values[n - 3 : n])) if n >= 3 else None)
+        durations = sorted((r for r in series.dynamic_baseline(frame, "n").collect() if r["spatial_key"] == place), key=lambda r: r["time_key"])
+        for n, r in enumerate(durations):
+            size = 1 + n * 7 % 300
+            assert r["baseline"] == (pytest.approx(statistics.fmean(values[n - size : n])) if n >= size else values[0] if n == 0 else None)
+    trends = series.trend(frame, "current", ["spatial_key"], "time_key", block_rows=50)
+    assert rows(trends, "time_key", "slope") == rows(series.trend(frame, "current", ["spatial_key"], "time_key"), "time_key", "slope")
+
+
 def test_volatility_of_zero_mean_is_unknown(spark, rows):
     records = make(spark, ("a", "2025-01", "sales", None, 0.0, None), ("a", "2025-02", "sales", None, 0.0, None))
     assert rows(series.domain_metrics(rec.normalise(records)), "volatility") == [(None,), (None,)]
