@@ -160,13 +160,19 @@ def _same_columns(a: DataFrame, b: DataFrame, names: list[str], prefix: str = "_
 def mixed(docs: DataFrame, leaf_plan: DataFrame, seed: int = SEED, levels: tuple[str, ...] = LEVELS) -> DataFrame:
     """``docs`` (with ``doc_id`` and the levels) once per epoch it is taken in, with its ``epoch`` from 0.
 
-    Rows of one ``doc_id`` in one leaf are taken or left together. Leaves without
-    tokens give no rows. Other columns go along, without a shuffle of their own.
+    Rows of one ``doc_id`` in one leaf are taken or left together, and so are ids
+    whose keys tie. Leaves without tokens give no rows, nor does an empty table.
+    Columns of any name go along, without a shuffle of their own; one named
+    ``epoch`` is replaced.
     """
-    joined = docs.join(leaf_plan, _same(docs, leaf_plan, levels))
+    names = [c for c in docs.columns if c != "epoch"]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), "doc_id", *[F.col(f"`{c}`") for c in levels])
+    joined = rows.join(leaf_plan, _same(rows, leaf_plan, levels))
     taken = F.col("_epochs") + (_key(F.col("_epochs"), seed) <= F.col("_cutoff")).cast("long")
     epochs = F.when(taken > 0, F.sequence(F.lit(0).cast("long"), taken - 1)).otherwise(F.array().cast("array<long>"))
-    return joined.withColumn("epoch", F.explode(epochs)).select(*docs.columns, F.col("epoch").cast("int").alias("epoch"))
+    return joined.select("_row", F.explode(epochs).alias("_epoch")).select(
+        *[F.col(f"_row.`{c}`").alias(c) for c in names], F.col("_epoch").cast("int").alias("epoch")
+    )
 
 
 def sized_leaves(docs: DataFrame) -> DataFrame:

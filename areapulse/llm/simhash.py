@@ -67,25 +67,15 @@ def _bit_counts(hashes: np.ndarray) -> np.ndarray:
     return counts
 
 
-def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS, seed: int = SEED) -> DataFrame:
-    """``doc_id`` and signed 64-bit ``fp`` of every row; repeated rows and NULL ids are kept, other columns not read."""
+def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS, seed: int = SEED, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id`` and signed 64-bit ``fp`` of every row, and its ``keep`` columns; repeated rows and NULL ids are kept, other columns not read."""
 
-    def each(doc_id, text):
+    def each(doc_id, text, *kept):
         value = fingerprint(text, width, seed)
-        yield doc_id, value - (1 << 64) if value >> 63 else value
+        yield doc_id, value - (1 << 64) if value >> 63 else value, *kept
 
-    return map_rows(docs, ["doc_id", "text"], "doc_id long, fp long", each)
-
-
-def with_fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS, seed: int = SEED) -> DataFrame:
-    """``docs`` with the signed fingerprint of each row as ``_simhash``."""
-
-    def add(batches):
-        for batch in batches:
-            values = np.array([fingerprint(t, width, seed) for t in batch.column("text").to_pylist()], np.uint64).view(np.int64)
-            yield batch.append_column("_simhash", pa.array(values, pa.int64()))
-
-    return docs.mapInArrow(add, docs.withColumn("_simhash", F.lit(0).cast("long")).schema)
+    schema = ", ".join(["doc_id long", "fp long", *(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)])
+    return map_rows(docs, ["doc_id", "text", *keep], schema, each)
 
 
 def gray_rank(bits: np.ndarray) -> np.ndarray:
@@ -260,25 +250,30 @@ def links(spark: SparkSession, distinct: DataFrame, most: int = MAX_DIFFERENCES,
     return paired.select("gray_part", "nth", "own", "queries", "fps").mapInArrow(meet, link_schema)
 
 
-def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, most: int = MAX_DIFFERENCES, seed: int = SEED) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, width: int = SHINGLE_WORDS, most: int = MAX_DIFFERENCES, seed: int = SEED, keep: tuple[str, ...] = (),
+) -> DataFrame:
     """``doc_id``, signed ``fp`` and ``component_id`` (smallest ``doc_id`` reachable over links) of every row.
 
-    Texts without words have fingerprint 0 and are linked like any others. A
-    component that has only NULL ids has a NULL id. An empty table gives no rows.
+    ``component`` is a fingerprint that names the component; ``keep`` columns go
+    along. Texts without words have fingerprint 0 and are linked like any others.
+    A component that has only NULL ids has a NULL id. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    stored = stage(spark, fingerprints(docs, width, seed), "fingerprints")
+    stored = stage(spark, fingerprints(docs, width, seed, keep), "fingerprints")
     classes = stage(spark, stored.groupBy("fp").agg(F.min("doc_id").alias("first")), "fp_classes")
     roots = components(links(spark, classes, most)).select(F.col("node").alias("fp"), "root")
     linked = classes.join(roots, "fp")
     smallest = linked.groupBy("root").agg(F.min("first").alias("_smallest"))
-    of_class = linked.join(smallest, "root").select("fp", "_smallest")
+    of_class = linked.join(smallest, "root").select("fp", "_smallest", "root")
     named = stage(
         spark,
-        classes.join(of_class, "fp", "left").select("fp", F.coalesce("_smallest", "first").alias("component_id")),
+        classes.join(of_class, "fp", "left").select(
+            "fp", F.coalesce("_smallest", "first").alias("component_id"), F.coalesce("root", "fp").alias("component")
+        ),
         "fp_components",
     )
-    return stored.join(named, "fp").select("doc_id", "fp", "component_id")
+    return stored.join(named, "fp").select("doc_id", "fp", "component_id", "component", *keep)
 
 
 def hexadecimal(fp: str):

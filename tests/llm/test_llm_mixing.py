@@ -88,6 +88,33 @@ def test_empty_mixture(spark):
     assert mixing.mixed(sized, mixing.plan(sized)).count() == 0
 
 
+def test_columns_of_any_name_go_along(spark):
+    documents = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    sized = mixing.sized_leaves(documents)
+    names = {"epoch": F.lit("old"), "_domain": F.lit("mine"), "_epochs": F.lit(7), "_cutoff": F.lit(8), "_row": F.col("doc_id")}
+    got = mixing.mixed(sized.withColumns(names), mixing.plan(sized))
+    assert got.columns == [*sized.columns, "_domain", "_epochs", "_cutoff", "_row", "epoch"]
+    want = mixing.mixed(sized, mixing.plan(sized))
+    assert sorted(tuple(r) for r in got.select("doc_id", "epoch").collect()) == sorted(tuple(r) for r in want.select("doc_id", "epoch").collect())
+    assert got.where("_domain <> 'mine' or _epochs <> 7 or _cutoff <> 8 or _row <> doc_id").count() == 0
+
+
+def test_rows_of_one_id_are_kept_by_their_texts(spark):
+    words = lambda n: " ".join(f"w{n}x{i}" for i in range(40))
+    rows = [(1, words(1)), (2, words(1)), (2, words(2)), (3, words(2)), (3, words(3)), (3, words(3)), (None, words(1)), (None, words(4)), (None, words(4)), (None, words(5))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.simhash_dedup(spark, docs, FOLDER).collect()
+    want = [(1, words(1)), (2, words(2)), (3, words(3)), (None, words(4)), (None, words(5))]
+    assert sorted(((r.doc_id, r.text) for r in got), key=repr) == sorted(want, key=repr)
+
+
+def test_an_empty_table_passes_all_stages(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("doc_id < 0")
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.stage(spark, stage(spark, docs, FOLDER), name)
+        assert docs.count() == 0
+
+
 def test_stages_take_effect(spark):
     documents = spark.read.parquet(f"{FOLDER}/documents.parquet")
     odd = spark.createDataFrame(
