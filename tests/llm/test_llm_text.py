@@ -100,22 +100,47 @@ def plain_pieces(text, reference):
 def test_cross_parsing_equals_brute_force():
     rng = random.Random(2)
     references = tuple((n, "".join(rng.choices(a, k=300))) for n, a in (("x", "aabc "), ("y", "abbd.é")))
-    parser = language.CrossParser(references)
-    coded = [bytes(parser.alphabet.codes(t).tolist()) for _, t in references]
-    texts = ["".join(rng.choices("abcdéz .", k=rng.randint(1, 120))) for _ in range(150)]
-    codes = [parser.alphabet.codes(t) for t in texts]
-    got = parser.pieces(codes)
-    for row, reference in enumerate(coded):
-        reference = reference.replace(b"\0", b"")
-        assert got[row].tolist() == [plain_pieces(bytes(c.tolist()), reference) for c in codes]
-    alone = np.array([parser.pieces([c])[:, 0] for c in codes]).T
+    dense, sparse = language.CrossParser(references), language.CrossParser(references, dense_cells=0)
+    assert dense.steps[0].table is not None and sparse.steps[0].table is None
+    plain = lambda points: "".join(map(chr, points))
+    texts = [language.points_of("".join(rng.choices("abcdéz .", k=rng.randint(1, 120)))) for _ in range(150)]
+    got = dense.pieces(texts)
+    for row, (_, reference) in enumerate(references):
+        reference = plain(language.points_of(reference))
+        assert got[row].tolist() == [plain_pieces(plain(t), reference) for t in texts]
+    alone = np.array([dense.pieces([t])[:, 0] for t in texts]).T
     assert np.array_equal(got, alone)
+    assert np.array_equal(got, sparse.pieces(texts)) and np.array_equal(got[:, :5], sparse.pieces(texts[:5]))
 
 
 def test_gaps_are_one_symbol():
-    alphabet = language.Alphabet(["ab"])
-    assert alphabet.codes("  A1 2b!").tolist() == [2, 1, 3]
-    assert alphabet.codes("1 2").tolist() == [] and alphabet.codes("z").tolist() == [0]
+    points = language.points_of("  A1 2b!")
+    assert points.tolist() == [97, 32, 98]
+    alphabet = language.Alphabet(points)
+    assert alphabet.codes(points).tolist() == [2, 1, 3]
+    assert language.points_of("1 2").tolist() == [] and alphabet.codes(language.points_of("z")).tolist() == [0]
+
+
+def test_many_scripts_with_little_text_of_one(spark):
+    rng = random.Random(4)
+    scripts = {name: [chr(start + i) for i in range(40)] for name, start in (
+        ("latin", 0x61), ("greek", 0x3B1), ("cyrillic", 0x430), ("armenian", 0x561), ("hiragana", 0x3042), ("han", 0x4E00))}
+    scripts["latin"] = [c for c in map(chr, range(0x61, 0x250)) if c.isalpha() and c == c.lower()][:40]
+    scripts["han"] = [chr(0x4E00 + 7 * i) for i in range(3000)]
+    rows, number = [], 0
+    for name, letters in scripts.items():
+        for _ in range(8 if name == "greek" else 60):
+            text = " ".join("".join(rng.choices(letters, k=rng.randint(2, 7))) for _ in range(60 if name != "greek" else 8))
+            rows.append((number := number + 1, text, name))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language.predictions(docs).join(docs, "doc_id").collect()
+    assert all(r.lang_pred == r.lang for r in got)
+
+
+def test_kept_columns_may_clash(spark):
+    docs = spark.createDataFrame([(1, "abc def", "x", 2.0, "y")], "doc_id long, text string, lang_pred string, score double, lang string")
+    out = language.identify(docs, (("z", "abc def"),), ("doc_id", "lang_pred", "score", "lang"))
+    assert out.columns == ["doc_id", "lang", "lang_pred", "score"] and [tuple(r) for r in out.collect()] == [(1, "y", "z", 1.0)]
 
 
 def test_languages_of_held_out_documents(spark, documents):
@@ -156,7 +181,9 @@ def test_one_step_of_training_follows_the_gradient():
     start = {k: v.copy() for k, v in model.weights.items()}
     model.fit([text], lanes=1, window=len(text), rate=1e-3)
     rng = np.random.default_rng(2)
-    for name, value in start.items():
+    assert all(np.array_equal(model.weights[k], v) == (k not in model.LEARNT) for k, v in start.items())
+    for name in model.LEARNT:
+        value = start[name]
         for at in rng.choice(value.size, min(6, value.size), replace=False):
             def loss(shift, name=name, value=value, at=at):
                 moved = small_model()
@@ -184,6 +211,42 @@ def test_scores(documents, head):
         assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def bigram_score(tokens, train):
+    """Mean log10 per token of held-out texts under a plain bigram model with one added to the counts of the unigram it falls back on."""
+    ones, twos = Counter(), Counter()
+    for t in train:
+        ones.update(t)
+        twos.update(zip([b""] + t[:-1], t, strict=True))
+    before = Counter()
+    for (a, _), n in twos.items():
+        before[a] += n
+    total, size, out, count = sum(ones.values()), len(ones) + 1, 0.0, 0
+    for t in tokens:
+        for a, b in zip([b""] + t[:-1], t, strict=True):
+            one = (ones[b] + 1) / (total + size)
+            out += math.log10((twos[a, b] + 5 * one) / (before[a] + 5))
+            count += 1
+    return out / count
+
+
+def test_all_training_documents_are_learnt_from(spark, documents):
+    texts = documents.where("doc_id % 3 = 0").select("doc_id", "text")
+    rows = [recurrent.tokens_of(r.text) for r in texts.collect()]
+    counts = Counter(w for t in rows for w in t)
+    words = [w for w, _ in counts.most_common(200)]
+    model = recurrent.GatedModel(np.append([counts[w] for w in words], 1.0))
+    seen = recurrent.train(texts.repartition(7), model, {w: i for i, w in enumerate(words)}, 200, sum(counts.values()))
+    assert seen == sum(map(len, rows))
+    assert np.isfinite(model.vector()).all()
+
+
+def test_averages_of_many_tasks(spark):
+    vectors = np.random.default_rng(1).normal(0, 1, (70, 5))
+    rows = spark.createDataFrame([(v.tobytes(), float(i)) for i, v in enumerate(vectors)], "weights binary, seen double").repartition(70)
+    total, seen = recurrent.average(rows, 70)
+    assert np.allclose(total, vectors.sum(axis=0)) and seen == sum(range(70))
+
+
 def test_scores_of_odd_rows(spark):
     odd = odd_rows(spark).withColumn("token", recurrent.F.lit("clash")).withColumn("c", recurrent.F.lit(1))
     rows = recurrent.scored(odd).collect()
