@@ -212,7 +212,7 @@ def test_scores(documents, head):
 
 
 def bigram_score(tokens, train):
-    """Mean log10 per token of held-out texts under a plain bigram model with one added to the counts of the unigram it falls back on."""
+    """Mean log10 per token of held-out texts under a plain bigram model, with one count of the smoothed unigram added to each word's followers."""
     ones, twos = Counter(), Counter()
     for t in train:
         ones.update(t)
@@ -224,11 +224,20 @@ def bigram_score(tokens, train):
     for t in tokens:
         for a, b in zip([b""] + t[:-1], t, strict=True):
             one = (ones[b] + 1) / (total + size)
-            out += math.log10((twos[a, b] + 5 * one) / (before[a] + 5))
+            out += math.log10((twos[a, b] + one) / (before[a] + 1))
             count += 1
     return out / count
 
 
+def test_held_out_documents_are_told_better_than_by_bigrams(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = recurrent.scored(documents).collect()
+    held = {r.doc_id for r in rows if r.held_out}
+    tokens = {r.doc_id: recurrent.tokens_of(r.text) for r in documents.collect()}
+    bigrams = bigram_score([tokens[i] for i in held], [t for i, t in tokens.items() if i not in held])
+    assert sum(r.score for r in rows if r.held_out) / sum(r.n_tokens for r in rows if r.held_out) > bigrams
+
+
 def test_all_training_documents_are_learnt_from(spark, documents):
     texts = documents.where("doc_id % 3 = 0").select("doc_id", "text")
     rows = [recurrent.tokens_of(r.text) for r in texts.collect()]
