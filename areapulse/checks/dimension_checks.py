@@ -110,6 +110,30 @@ check("j9_multipart", f"""SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_li
             (F.col("l_extendedprice") / 10000 + 0.00007).alias("x"), (F.col("l_quantity") / 5 + 0.00003).alias("y")),
         parted(spark, sf), "line", "x", "y").groupBy("line", "polygon_code").agg(F.count(F.lit(1)).alias("n")))
 
+# One polygon the size of a country with a jagged northern border, and units of 0.02 degrees.
+TEETH = 400
+
+
+def mixed_sizes(spark, sf):
+    point = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+    x0, y0 = 126 + F.col("p_partkey") % 50 * 0.1, 33 + F.floor(F.col("p_partkey") / 50) % 50 * 0.1
+    ring = F.array(*[point(x0 + dx, y0 + dy) for dx, dy in ((0.0, 0.0), (0.02, 0.0), (0.02, 0.02), (0.0, 0.02))])
+    units = table(spark, sf, "part").select(F.concat(F.lit("u"), F.col("p_partkey").cast("string")).alias("code"), F.lit("unit").alias("name"), ring.alias("ring"))
+    border = F.transform(F.sequence(F.lit(TEETH), F.lit(0)), lambda i: point(126.3 + i * (3.8 / TEETH), 37.6 + i % 2 * 0.05))
+    country = F.concat(F.array(point(F.lit(126.3), F.lit(33.2)), point(F.lit(130.1), F.lit(33.2))), border)
+    return units.union(spark.range(1).select(F.lit("c").alias("code"), F.lit("country").alias("name"), country.alias("ring")))
+
+
+CUSTOMER_POINT = "SELECT c_custkey, 126 + c_custkey % 1000 * 0.005 + 0.0011 AS x, 33 + c_custkey * 7 % 1000 * 0.005 + 0.0007 AS y FROM customer"
+check("j9_mixed_sizes", f"""
+  WITH point AS ({CUSTOMER_POINT}), unit AS (SELECT p_partkey, 126 + p_partkey % 50 * 0.1 AS x0, 33 + p_partkey // 50 % 50 * 0.1 AS y0 FROM part)
+  SELECT c_custkey, 'u' || CAST(p_partkey AS VARCHAR) AS polygon_code FROM point JOIN unit ON x > x0 AND x < x0 + 0.02 AND y > y0 AND y < y0 + 0.02
+  UNION ALL SELECT c_custkey, 'c' FROM (SELECT *, (x - 126.3) / (3.8 / {TEETH}) AS t FROM point)
+    WHERE x > 126.3 AND x < 130.1 AND y > 33.2 AND y < 37.6 + 0.05 * CASE WHEN floor(t) % 2 = 0 THEN t - floor(t) ELSE 1 - (t - floor(t)) END""")(
+    lambda spark, sf: spatial.points_in_polygons(
+        table(spark, sf, "customer").select("c_custkey", (126 + F.col("c_custkey") % 1000 * 0.005 + 0.0011).alias("x"), (33 + F.col("c_custkey") * 7 % 1000 * 0.005 + 0.0007).alias("y")),
+        mixed_sizes(spark, sf), "c_custkey", "x", "y").select("c_custkey", "polygon_code"))
+
 check("g4_multipart", statement(
     f"""SELECT spatial_key, coalesce(code2, code) AS code, CASE WHEN code2 IS NULL THEN spatial_type ELSE 'emd' END AS spatial_type FROM
       (SELECT d.*, (SELECT min(CAST(r_regionkey AS VARCHAR)) FROM (SELECT r_regionkey, r_regionkey * CAST(0.3 AS DOUBLE) AS m FROM region)

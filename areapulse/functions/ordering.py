@@ -18,6 +18,8 @@ MERGES = {
     "bit_xor": lambda ahead, here: F.coalesce(ahead, F.lit(0).cast("long")).bitwiseXOR(here),
 }
 RANGE = "_range"
+#: Rows that one task may merge and hand on.
+AT_ONCE = 10_000
 
 
 def in_ranges(df: DataFrame, groups: list[str], order: list[Column], name: str = "ranges") -> DataFrame:
@@ -65,6 +67,19 @@ def numbered(df: DataFrame, groups: list[str], order: list[Column], number: str
     return running(one, groups, order, {number: ("sum", "_one")}).withColumn(number, F.col(number) - 1).drop("_one")
 
 
+def leading(df: DataFrame, order: list[Column], count: int, at_once: int = AT_ONCE) -> DataFrame:
+    """The first ``count`` rows in a total order, in no order.
+
+    A few are merged from the first of every task. More are found by their places:
+    rows per range tell in which range the last one lies, and the rows stay where
+    they are, in as many partitions as they need.
+    """
+    if count <= at_once:
+        return df.orderBy(*order).limit(count)
+    placed = numbered(df.withColumn("_all", F.lit(0)), ["_all"], order, "_place")
+    return placed.where(F.col("_place") < count).drop("_all", "_place")
+
+
 def in_blocks(df: DataFrame, groups: list[str], order: list[Column], rows: int, before: int) -> DataFrame:
     """``df`` in blocks of at most ``rows`` rows of a group that follow each other, with ``_block`` and ``_halo``.
 

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from areapulse.functions.numbers import correlation, fixed_point, ratio
 from areapulse.operators.records import fuse, normalise, source_label
 from areapulse.operators.series import domain_metrics, trend
+from areapulse.session import stage
 
 BUCKET = ["spatial_key", "time_key"]
 TOP_GROUPS = 5
@@ -177,6 +178,6 @@ def insights(records: DataFrame, metrics: DataFrame) -> DataFrame:
 
 
 def run(raw_records: DataFrame) -> DataFrame:
-    """Normalise, fuse, measure and describe records of any mix of domains."""
-    records = normalise(raw_records)
+    """Normalise, fuse, measure and describe records of any mix of domains; normalised once, as four branches read them."""
+    records = stage(raw_records.sparkSession, normalise(raw_records), "normalised_records")
     return insights(records, domain_metrics(records))

@@ -8,6 +8,7 @@ file a row came from, that stay part of the key.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -275,6 +276,21 @@ NORMALISERS = {
 }
 
 
+def register(source: str, normaliser: Callable[..., Normalised], pattern: str) -> None:
+    """Add a domain: ``normaliser(raw, granularity, keep)`` makes its fact rows and places from the files like ``pattern``.
+
+    Ingests, streams and :meth:`IngestStore.ingest_all` know it from then on.
+    """
+    if source in NORMALISERS:
+        raise ValueError(f"domain {source} exists")
+    NORMALISERS[source] = normaliser
+    d.FILE_PATTERNS[source] = pattern
+
+
+def unregister(source: str) -> None:
+    del NORMALISERS[source], d.FILE_PATTERNS[source]
+
+
 def detect_table(file_name: Column) -> Column:
     """City table a file belongs to, by its name; NULL when it is none of them."""
     name = F.lower(file_name)

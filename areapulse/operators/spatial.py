@@ -1,18 +1,28 @@
 """Points in polygons with native expressions.
 
-Polygons are listed under the grid cells their bounding box touches, points under
-their own cell, and the two meet in an equality join on the cell. Only points and
-polygons of one cell are ever compared, and the exact test runs on those.
+A polygon is covered by the cells of a quadtree: it starts with the few cells of
+its own size, and a cell with many edges is cut in four until few are left. A cell
+without edges lies inside as a whole, or is left out; a border cell keeps the edges
+that touch it and whether its reference point is inside. Points are listed under
+their cell of each size in use, and meet the cover in an equality join. A point in
+a border cell is inside if the way to the reference point crosses the outline an
+even number of times, or odd, as that point is.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from functools import reduce
 
+from pyspark.sql import Column, DataFrame, functions as F
 
+from areapulse.session import stage
 
-def _cell(value: Column, size: float | Column) -> Column:
-    return F.floor(value / size)
+#: Edges that a border cell may keep, and how often a cell is cut for that.
+CELL_EDGES = 16
+MOST_CUTS = 16
+#: Where in its cell a reference point lies; no outline has corners there.
+REFERENCE = (0.5176380902050415, 0.4721359549995794)
+CELL = ["_level", "_cx", "_cy"]
 
 
 def edges(ring: Column) -> Column:
@@ -23,21 +33,14 @@ def edges(ring: Column) -> Column:
     ))
 
 
-def inside(x: Column, y: Column, ring_edges: Column) -> Column:
-    """Whether a point lies inside rings, a hole's crossings cancelling its outer ring's; points on an outline do not."""
-    def crosses(e: Column) -> Column:
-        straddles = (e["y1"] > y) != (e["y2"] > y)
-        at = F.try_divide((e["x2"] - e["x1"]) * (y - e["y1"]), e["y2"] - e["y1"]) + e["x1"]
-        return F.when(straddles & (x < at), 1).otherwise(0)
-
+def on_outline(x: Column, y: Column, ring_edges: Column) -> Column:
     def touches(e: Column) -> Column:
         area = (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
         in_x = (x >= F.least(e["x1"], e["x2"])) & (x <= F.greatest(e["x1"], e["x2"]))
         in_y = (y >= F.least(e["y1"], e["y2"])) & (y <= F.greatest(e["y1"], e["y2"]))
         return (area == 0) & in_x & in_y
 
-    count = F.aggregate(ring_edges, F.lit(0), lambda total, e: total + crosses(e))
-    return (count % 2 == 1) & ~F.exists(ring_edges, touches)
+    return F.exists(ring_edges, touches)
 
 
 def boxed_polygons(polygons: DataFrame) -> DataFrame:
@@ -58,45 +61,107 @@ def boxed_polygons(polygons: DataFrame) -> DataFrame:
     )
 
 
-def cell_size(polygons: DataFrame) -> Column:
-    """The mean extent of the polygons, so that one of usual size touches a few cells; a scalar subquery of the plan."""
-    extent = F.greatest(F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0"))
-    return boxed_polygons(polygons).agg(F.coalesce(F.nullif(F.avg(extent), F.lit(0.0)), F.lit(1.0)).alias("size")).scalar()
+def _crossings(x: Column, y: Column, to_x: Column, to_y: Column, ring_edges: Column) -> Column:
+    """How often the way from a point along its row, then along the other point's column, crosses edges."""
+    def crosses(e: Column) -> Column:
+        in_row = (e["y1"] > y) != (e["y2"] > y)
+        at = F.try_divide((e["x2"] - e["x1"]) * (y - e["y1"]), e["y2"] - e["y1"]) + e["x1"]
+        row = F.when(in_row & ((x < at) != (to_x < at)), 1).otherwise(0)
+        in_column = (e["x1"] > to_x) != (e["x2"] > to_x)
+        up = F.try_divide((e["y2"] - e["y1"]) * (to_x - e["x1"]), e["x2"] - e["x1"]) + e["y1"]
+        return row + F.when(in_column & ((y < up) != (to_y < up)), 1).otherwise(0)
+
+    return F.aggregate(ring_edges, F.lit(0), lambda total, e: total + crosses(e))
+
+
+def _touching(ring_edges: Column, x0: Column, y0: Column, size: Column) -> Column:
+    """The edges that come into a cell or touch it: their box does, and the corners are not all on one side of them."""
+    x1, y1 = x0 + size, y0 + size
+
+    def touches(e: Column) -> Column:
+        boxes = (
+            (F.least(e["x1"], e["x2"]) <= x1) & (F.greatest(e["x1"], e["x2"]) >= x0)
+            & (F.least(e["y1"], e["y2"]) <= y1) & (F.greatest(e["y1"], e["y2"]) >= y0)
+        )
+        sides = [(e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"]) for x in (x0, x1) for y in (y0, y1)]
+        return boxes & (F.least(*sides) <= 0) & (F.greatest(*sides) >= 0)
+
+    return F.filter(ring_edges, touches)
+
 
+def _with_cell(cells: DataFrame, around: Column, reference: Column) -> DataFrame:
+    """Cells (``_level``, ``_cx``, ``_cy``) with the edges of ``around`` that touch them, and ``_in``: whether ``_rx``, ``_ry`` is inside."""
+    size = F.pow(F.lit(2.0), -F.col("_level"))
+    placed = cells.withColumns({
+        "_size": size, "_edges": _touching(around, F.col("_cx") * size, F.col("_cy") * size, size),
+        "_rx": (F.col("_cx") + REFERENCE[0]) * size, "_ry": (F.col("_cy") + REFERENCE[1]) * size,
+    })
+    return placed.withColumn("_in", reference).select("polygon_code", "polygon_name", *CELL, "_edges", "_rx", "_ry", "_in")
 
-def polygon_cells(polygons: DataFrame, size: float | Column) -> DataFrame:
-    """Polygons once per grid cell of their bounding box."""
-    boxed = boxed_polygons(polygons)
-    columns = F.sequence(_cell(F.col("_x0"), size), _cell(F.col("_x1"), size))
-    rows = F.sequence(_cell(F.col("_y0"), size), _cell(F.col("_y1"), size))
-    return boxed.withColumn("_cx", F.explode(columns)).withColumn("_cy", F.explode(rows))
 
+def cover(polygons: DataFrame, cell_edges: int = CELL_EDGES, most_cuts: int = MOST_CUTS) -> DataFrame:
+    """The stored cells that cover polygons: full ones without ``_edges``, border ones with at most ``cell_edges``.
 
-def points_in_polygons(
-    points: DataFrame, polygons: DataFrame, key: str, x: str, y: str, size: float | None = None
-) -> DataFrame:
-    """(key, polygon_code, polygon_name) for every point within a polygon; cells of ``size``, by default the polygons' own."""
-    size = cell_size(polygons) if size is None else size
+    More edges than that stay only where they meet closer than the smallest cells.
+    """
+    spark = polygons.sparkSession
+    boxed = boxed_polygons(polygons).withColumnRenamed("_edges", "_outline")
+    extent = F.greatest(F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0"), F.lit(1e-9))
+    level = (-F.ceil(F.log2(extent))).cast("int")
+    per = F.pow(F.lit(2.0), F.col("_level"))
+
+    def cells(low: str, high: str) -> Column:
+        return F.sequence(F.floor(F.col(low) * per), F.floor(F.col(high) * per))
+
+    roots = boxed.withColumn("_level", level).withColumn("_cx", F.explode(cells("_x0", "_x1"))).withColumn("_cy", F.explode(cells("_y0", "_y1")))
+    crossed = F.aggregate(F.col("_outline"), F.lit(0), lambda total, e: total + F.when(
+        ((e["y1"] > F.col("_ry")) != (e["y2"] > F.col("_ry")))
+        & (F.col("_rx") < F.try_divide((e["x2"] - e["x1"]) * (F.col("_ry") - e["y1"]), e["y2"] - e["y1"]) + e["x1"]), 1).otherwise(0))
+    open_cells = stage(spark, _with_cell(roots, F.col("_outline"), crossed % 2 == 1), "polygon_cells")
+    done = []
+    for cut in range(most_cuts + 1):
+        crowded = F.size("_edges") > cell_edges
+        if cut == most_cuts or not open_cells.where(crowded).limit(1).count():
+            done.append(open_cells)
+            break
+        done.append(open_cells.where(~crowded))
+        quarter = F.explode(F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x in (0, 1) for y in (0, 1)]))
+        parents = open_cells.where(crowded).withColumnsRenamed({"_edges": "_outline", "_rx": "_px", "_ry": "_py", "_in": "_pin"})
+        children = parents.withColumn("_q", quarter).withColumns({
+            "_level": F.col("_level") + 1, "_cx": F.col("_cx") * 2 + F.col("_q.x"), "_cy": F.col("_cy") * 2 + F.col("_q.y"),
+        })
+        way = _crossings(F.col("_rx"), F.col("_ry"), F.col("_px"), F.col("_py"), F.col("_outline"))
+        open_cells = stage(spark, _with_cell(children, F.col("_outline"), F.col("_pin") != (way % 2 == 1)), "polygon_cells")
+    every = reduce(DataFrame.union, done)
+    return every.where((F.size("_edges") > 0) | F.col("_in"))
+
+
+def points_in_polygons(points: DataFrame, polygons: DataFrame, key: str, x: str, y: str, cell_edges: int = CELL_EDGES) -> DataFrame:
+    """(key, polygon_code, polygon_name) for every point within a polygon; points on an outline are not."""
+    cells = cover(polygons, cell_edges)
+    # a fixed number of sizes, the powers of two between the smallest and the largest polygon's cells
+    levels = sorted(r["_level"] for r in cells.select("_level").distinct().collect())
+    per = F.pow(F.lit(2.0), F.col("_level"))
     placed = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
-        key, F.col(x).alias("_x"), F.col(y).alias("_y"),
-        _cell(F.col(x), size).alias("_cx"), _cell(F.col(y), size).alias("_cy"),
-    )
-    px, py = F.col("_x"), F.col("_y")
-    in_box = px.between(F.col("_x0"), F.col("_x1")) & py.between(F.col("_y0"), F.col("_y1"))
+        key, F.col(x).alias("_x"), F.col(y).alias("_y"), F.explode(F.array(*map(F.lit, levels)).cast("array<int>")).alias("_level")
+    ).withColumns({"_cx": F.floor(F.col("_x") * per), "_cy": F.floor(F.col("_y") * per)})
+    px, py, own = F.col("_x"), F.col("_y"), F.col("_edges")
+    way = _crossings(px, py, F.col("_rx"), F.col("_ry"), own)
+    within = F.col("_in") != (way % 2 == 1)
     return (
-        placed.join(polygon_cells(polygons, size), ["_cx", "_cy"])
-        .where(in_box & inside(px, py, F.col("_edges")))
+        placed.join(cells, CELL)
+        .where(F.when(F.size(own) == 0, F.col("_in")).otherwise(within & ~on_outline(px, py, own)))
         .select(key, "polygon_code", "polygon_name")
     )
 
 
-def assign_units(dim: DataFrame, polygons: DataFrame, size: float | None = None) -> DataFrame:
+def assign_units(dim: DataFrame, polygons: DataFrame) -> DataFrame:
     """Label, type and codes of places taken from the polygon they lie in.
 
     Where polygons overlap, the lowest code is taken.
     """
     found = (
-        points_in_polygons(dim, polygons, "spatial_key", "lon", "lat", size)
+        points_in_polygons(dim, polygons, "spatial_key", "lon", "lat")
         .groupBy("spatial_key")
         .agg(F.min(F.struct("polygon_code", "polygon_name")).alias("_unit"))
     )

@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from areapulse.functions.numbers import drop_nan
-from areapulse.functions.ordering import group_medians
+from areapulse.functions.ordering import group_medians, leading
 from areapulse.functions.text import parse_date
 from areapulse.session import stage
 
@@ -215,7 +215,7 @@ def apply_top_n(df: DataFrame, filters: dict, target: str) -> DataFrame:
     ascending = str(wanted.get("order", "desc")).lower() == "asc"
     order = value.asc_nulls_last() if ascending else value.desc_nulls_last()
     ties = [F.col(c) for c in ("spatial", "time", "level") if c in df.columns]
-    return df.orderBy(order, *ties).limit(count)
+    return leading(df, [order, *ties], count)
 
 
 # Aggregates ----------------------------------------------------------------------------------

@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from areapulse.functions.ordering import leading
 from areapulse.functions.periods import between, parse_period
 from areapulse.operators import candidates as cand
 from areapulse.operators.rollups import LEVELS, demographic_share, monthly, trend, year_on_year
@@ -70,13 +71,10 @@ def rankings(gold, metric: str, period: str, top_k: int = 10, level: str | None
     if top_k <= 0:
         raise ValueError("top_k must be greater than 0")
     column = METRICS[metric]
-    rows = series_at(gold, _level(level))
-    return (
-        _on_period(rows, period)
-        .select("spatial_label", "date", F.lit(column).alias("metric"), F.col(column).alias("value"))
-        .orderBy(F.col("value").desc_nulls_last(), "spatial_label")
-        .limit(top_k)
-    )
+    rows = _on_period(series_at(gold, _level(level)), period)
+    order = [F.col("value").desc_nulls_last(), F.col("spatial_label").asc()]
+    values = rows.select("spatial_label", "date", F.lit(column).alias("metric"), F.col(column).alias("value"))
+    return leading(values, order, top_k).orderBy(*order)
 
 
 def latest_row(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:

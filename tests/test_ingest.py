@@ -170,6 +170,31 @@ def test_lake_layers_append(spark, rows, tmp_path):
         lake.layer_path("r", "gold", "d")
 
 
+def test_a_repeated_batch_replaces_its_rows(spark, rows, tmp_path):
+    write = lambda v, batch: lake.write_layer(norm.bronze(spark.createDataFrame([("202401", v)], "m string, v double"), F.col("m")), str(tmp_path), "bronze", "d", batch=batch)
+    for value, batch in ((1.0, "a"), (2.0, "b"), (3.0, "a")):
+        write(value, batch)
+    assert rows(lake.read_layer(spark, str(tmp_path), "bronze", "d"), "v") == [(2.0,), (3.0,)]
+
+
+def test_a_domain_of_ones_own_is_ingested(spark, rows, tmp_path):
+    def bikes(df, granularity="month", keep=()):
+        read = norm.Normalised if hasattr(norm, "Normalised") else None
+        assert read is None or granularity == "month"
+        return norm.telco(df.withColumnsRenamed({"month": "CRTR_YM", "station": "VST_SGG_CD", "rides": "ML_VST_PPLTN_1"}), granularity, keep)
+
+    norm.register("bikes", bikes, "bikes_*.csv")
+    try:
+        put(tmp_path / "in", "bikes_1.csv", "month,station,rides\n202401,s1,5\n")
+        store = IngestStore(spark, str(tmp_path / "store"))
+        assert store.ingest("bikes", [str(tmp_path / "in")]) == 1
+        assert rows(store.activity(), "spatial_key", "foot_traffic") == [("s1", 5.0)]
+        with pytest.raises(ValueError):
+            norm.register("bikes", bikes, "x")
+    finally:
+        norm.unregister("bikes")
+
+
 def test_added_measures_stay_unknown_where_nobody_set_them(spark, rows):
     old = spark.createDataFrame([("a", D(2024, 1, 1), "month", "s", 1.0, None, None)], GOLD_ACTIVITY)
     new = spark.createDataFrame([("a", D(2024, 1, 1), "month", "s", 2.0, None, None), ("b", D(2024, 1, 1), "month", "s", None, 5.0, 1.0)], GOLD_ACTIVITY)

@@ -3,7 +3,7 @@ import statistics
 
 from pyspark.sql import functions as F
 
-from areapulse.functions.ordering import group_medians, in_ranges, numbered, running, value_positions
+from areapulse.functions.ordering import group_medians, in_ranges, leading, numbered, running, value_positions
 
 
 def test_positions_count_the_rows_ahead(spark, rows):
@@ -55,3 +55,13 @@ def test_equal_rows_are_numbered_through(spark):
     frame = spark.createDataFrame([("a", 1)] * 500 + [("a", 2)] * 3, "g string, at int")
     got = sorted((r["at"], r["position"]) for r in numbered(frame, ["g"], [F.col("at").asc()]).collect())
     assert got == [(1, n) for n in range(500)] + [(2, 500 + n) for n in range(3)]
+
+
+def test_leading_rows_of_any_number(spark, rows):
+    frame = spark.createDataFrame([(i % 7, i) for i in range(500)], "v int, k int").repartition(6)
+    order = [F.col("v").desc(), F.col("k").asc()]
+    for count in (0, 1, 250, 499, 900):
+        want = rows(frame.orderBy(*order).limit(count))
+        assert rows(leading(frame, order, count)) == rows(leading(frame, order, count, at_once=0)) == want
+    plan = leading(frame, order, 250, at_once=0)._jdf.queryExecution().toString()
+    assert "Limit" not in plan and "TakeOrdered" not in plan

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from areapulse.operators import dimension, requests as req, spatial, vectors
 from areapulse.schemas import ADMIN_SIG, DIM_SPATIAL
+from areapulse.sources.vectors import VectorIndex
 
 
 def polygons(spark, *items):
@@ -17,8 +18,35 @@ ARROW = [(0.0, 0.0), (4.0, 0.0), (1.0, 2.0), (4.0, 4.0), (0.0, 4.0)]
 
 def test_points_in_a_non_convex_ring(spark, rows):
     points = spark.createDataFrame([("in", 0.5, 2.0), ("notch", 3.0, 2.0), ("arm", 3.0, 0.3), ("out", -1.0, 2.0), ("corner", 0.0, 0.0), ("edge", 2.0, 0.0), ("none", None, 1.0)], "k string, x double, y double")
-    for size in (0.3, 1.0, 50.0):
-        assert rows(spatial.points_in_polygons(points, polygons(spark, ("p", ARROW)), "k", "x", "y", size), "k") == [("arm",), ("in",)]
+    for cell_edges in (2, 3, 16):
+        assert rows(spatial.points_in_polygons(points, polygons(spark, ("p", ARROW)), "k", "x", "y", cell_edges), "k") == [("arm",), ("in",)]
+
+
+def within(x, y, rings):
+    odd = False
+    for ring in rings:
+        for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1], strict=True):
+            odd ^= (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1
+    return odd
+
+
+def test_jagged_polygons_of_unequal_size_equal_brute_force(spark, rows):
+    rng = random.Random(7)
+
+    def star(cx, cy, size, corners):
+        turns = sorted(rng.uniform(0, 2 * np.pi) for _ in range(corners))
+        return [(float(cx + size * r * np.cos(t)), float(cy + size * r * np.sin(t))) for t in turns for r in [rng.uniform(0.3, 1)]]
+
+    shapes = {"country": [star(0, 0, 50, 900), star(5, 5, 3, 40)]} | {f"u{i}": [star(rng.uniform(-40, 40), rng.uniform(-40, 40), 0.5, 9)] for i in range(30)}
+    frame = spark.createDataFrame([(c, c, r) for c, r in shapes.items()], "code string, name string, rings array<array<struct<x:double,y:double>>>")
+    points = [(i, rng.uniform(-60, 60), rng.uniform(-60, 60)) for i in range(1500)] + [(2000 + i, x + rng.uniform(-0.4, 0.4), y + rng.uniform(-0.4, 0.4)) for i in range(300) for x, y in [rng.choice(shapes[f"u{i % 30}"][0])]]
+    want = sorted((i, c) for i, x, y in points for c, r in shapes.items() if within(x, y, r))
+    assert len({c for _, c in want}) > 25
+    got = spatial.points_in_polygons(spark.createDataFrame(points, "k long, x double, y double"), frame, "k", "x", "y")
+    assert sorted((r["k"], r["polygon_code"]) for r in got.collect()) == want
+    cells = {r["polygon_code"]: (r["n"], r["most"]) for r in spatial.cover(frame).groupBy("polygon_code").agg(F.count("*").alias("n"), F.max(F.size("_edges")).alias("most")).collect()}
+    assert max(n for c, (n, _) in cells.items() if c != "country") <= 4
+    assert cells["country"][0] < 900 and cells["country"][1] <= spatial.CELL_EDGES
 
 
 def places(spark, *rows):
@@ -82,6 +110,52 @@ def test_vector_look_up_equals_brute_force_however_it_is_split(spark):
     assert vectors.nearest_stored(frame, frame.limit(0), ["g"]).count() == 0
 
 
+def indexed(spark, tmp_path, items, lists):
+    index = VectorIndex(spark, str(tmp_path / "index"), {"g": "string"})
+    rows = spark.createDataFrame([(i, f"h{i}", [float(x) for x in v], g) for i, v, g in items], "id long, request_hash string, vector array<float>, g string")
+    index.build(rows, lists=lists)
+    return index
+
+
+def test_stored_index_is_exact_and_compares_few_of_clustered_vectors(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(30, 24))
+    items = [(i, centres[i % 30] + rng.normal(scale=0.15, size=24), "hot" if i % 5 else "cold") for i in range(1500)]
+    asked = [(10_000 + i, centres[i % 30] + rng.normal(scale=0.15, size=24), "hot" if i % 5 else "cold") for i in range(0, 200)]
+    index = indexed(spark, tmp_path, items, 30)
+    queries = spark.createDataFrame([(i, [float(x) for x in v], g) for i, v, g in asked], "id long, vector array<double>, g string")
+    stored = [(i, np.array(v, np.float32).astype(float), g) for i, v, g in items]
+    want = []
+    for i, v, g in asked:
+        scored = [(float(v @ w / np.linalg.norm(v) / np.linalg.norm(w)), j) for j, w, h in stored if h == g]
+        want += [(i, j) for _, j in sorted([(-s, j) for s, j in scored if s >= 0.92])[:5]]
+    got = index.lookup(queries).collect()
+    assert len(want) > 200 and sorted((r["query_id"], r["match_id"]) for r in got) == sorted(want)
+    assert max(r["compared"] for r in got) < 300
+    bounds = [(r["id"], r["bound"]) for r in index.probes(queries).collect()]
+    assert all(b <= np.arccos(0.92) + 1e-5 for _, b in bounds)
+    assert sorted((r["query_id"], r["match_id"]) for r in index.lookup(queries, block_rows=7).collect()) == sorted(want)
+
+
+def test_added_vectors_replace_those_of_their_hash(spark, rows, tmp_path):
+    rng = np.random.default_rng(9)
+    centres = np.eye(6)
+    index = indexed(spark, tmp_path, [(i, centres[i % 6] + rng.normal(scale=0.01, size=6), "g") for i in range(60)], 6)
+    before = index.tables.version().parts["vectors"]
+    opened = index.tables.read("vectors", index.schema)
+    fresh = spark.createDataFrame([(100, "h0", [0.0, 1.0, 0.0, 0.0, 0.0, 0.0], "g"), (101, "h0", [0.0, 0.99, 0.01, 0.0, 0.0, 0.0], "g"), (102, "new", [0.0, 1.0, 0.0, 0.0, 0.0, 0.0], "g")], "id long, request_hash string, vector array<float>, g string")
+    assert index.add(fresh) == 2
+    after = index.tables.version().parts["vectors"]
+    assert sum(before[n] != after[n] for n in before) == 2
+    assert opened.count() == 60 and index.tables.read("vectors", index.schema).count() == 61
+    query = spark.createDataFrame([(1, [1.0, 0.0, 0.0, 0.0, 0.0, 0.0], "g"), (2, [0.0, 1.0, 0.0, 0.0, 0.0, 0.0], "g"), (3, [1.0, 0.0, 0.0, 0.0, 0.0, 0.0], "other")], "id long, vector array<double>, g string")
+    found = {(r["query_id"], r["match_id"]) for r in index.lookup(query, k=99).collect()}
+    assert (1, 0) not in found and {(2, 101), (2, 102)} <= found and not {x for x in found if x[0] == 3 or x[1] == 100}
+    empty = VectorIndex(spark, str(tmp_path / "none"), {"g": "string"})
+    with pytest.raises(ValueError):
+        empty.build(fresh.limit(0))
+
+
 def test_request_tags(spark):
     texts = ["강남구 20대 여성 2024-01부터 2024-03-15", "전년 대비 시도별 2023년", "2023년 5월 1168010100 구별 연령", "주말 축제", "전체 요약", "2024-13 서울특별시 강남구"]
     frame = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
