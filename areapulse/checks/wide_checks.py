@@ -82,8 +82,8 @@ def _backfilled(spark, sf):
     return dimension.backfill(dim, answers, gold(spark, sf).admin_sig)
 
 
-check("n1_large_exponents", """SELECT o_orderkey, CASE WHEN o_orderkey % 250 <= 300 THEN
-  CAST(CAST(1 + o_orderkey % 9 AS VARCHAR) || CASE WHEN o_orderkey % 2 = 0 THEN 'e' ELSE 'E-' END || CAST(o_orderkey % 250 AS VARCHAR) AS DOUBLE) > 1 END AS large FROM orders""")(
+check("n1_large_exponents", """SELECT o_orderkey,
+  CAST(CAST(1 + o_orderkey % 9 AS VARCHAR) || CASE WHEN o_orderkey % 2 = 0 THEN 'e' ELSE 'E-' END || CAST(o_orderkey % 250 AS VARCHAR) AS DOUBLE) > 1 AS large FROM orders""")(
     lambda spark, sf: table(spark, sf, "orders").select("o_orderkey", (parse_number(F.concat(
         (1 + F.col("o_orderkey") % 9).cast("string"), F.when(F.col("o_orderkey") % 2 == 0, "e").otherwise("E-"),
         (F.col("o_orderkey") % 250).cast("string"))) > 1).alias("large")))

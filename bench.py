@@ -22,6 +22,7 @@ HEADLINE = [
     "n4_sales", "n6_telco_grid_demographics", "n8_sex_age", "a20_grouped_aggregates", "q6_compare_yoy",
     "r1_compare_domains", "r8_region_payload", "r11_request_tags", "d6_add_activity",
     "d3_incremental_ingest", "d3_mixed_layouts", "w7_candidates_wide", "k1_rankings_wide", "a24_leading_groups_crowded", "k7_vector_lookup_split",
+    "d6_refreshed_activity", "j9_mixed_sizes", "k7_indexed", "w11_long_durations", "w13_one_place",
 ]
 
 
