@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -159,3 +160,18 @@ def test_composition_shift_and_elasticity(spark, rows):
     assert rows(series.composition_shift(before, after, ["k"], "v")) == [("a", 0.5), ("b", None), ("c", None)]
     frame = spark.createDataFrame([(0.2, 0.1), (0.0, 0.1), (None, 0.1)], "t double, s double")
     assert rows(frame.select(series.elasticity(F.col("t"), F.col("s")))) == [(0.5,), (None,), (None,)]
+
+
+def test_dynamic_baselines_meet_in_bounded_tasks_and_never_in_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(series, "CHUNK_ROWS", 8)
+    monkeypatch.setattr(series, "PARTS_AT_ONCE", 64)
+    values = [(s, i, float((i * 37) % 101), 1 + (i * 13) % 41) for s in ("a", None) for i in range(120)]
+    frame = spark.createDataFrame([("sales", s, f"{i:04}", dt.date(2024, 1, 1) + dt.timedelta(days=i), v, d) for s, i, v, d in values],
+                                  "source string, spatial_key string, time_key string, _date date, current double, duration long")
+    found = series.dynamic_baseline(frame, "duration")
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    got = {(r["spatial_key"], int(r["time_key"])): r["baseline"] for r in found.collect()}
+    by = {(s, i): v for s, i, v, _ in values}
+    for s, i, v, d in values:
+        want = v if i == 0 and d == 1 else sum(by[s, n] for n in range(i - d, i)) / d if i >= d else None
+        assert got[s, i] == (want if want is None else pytest.approx(want))
