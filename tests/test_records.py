@@ -175,3 +175,21 @@ def test_dynamic_baselines_meet_in_bounded_tasks_and_never_in_a_broadcast(spark,
     for s, i, v, d in values:
         want = v if i == 0 and d == 1 else sum(by[s, n] for n in range(i - d, i)) / d if i >= d else None
         assert got[s, i] == (want if want is None else pytest.approx(want))
+
+
+def test_grid_records_are_made_by_code_that_is_small_enough_to_compile(spark, tmp_path, capsys):
+    names = ["CRTR_YMD", "CRTR_YM", "SM_LC_CD", "COORD_X", "COORD_Y", "VST_ML_PPLTN_CNT_20_24", "VST_FM_PPLTN_CNT_20_24"]
+    rows = [("20240105", "202401", "7", "127", "37.5", "1", "2"), ("", "202401", "", "x", "37.5", "1", "2"), ("", "202401", "", "127", "37.5", "1", "2"),
+            ("", "", "7", "127", "37.5", "1", "2"), ("x", "202401", "7", None, "37.5", "1", "2")]
+    spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names)).write.parquet(str(tmp_path / "grid"))
+    found = rec.telco_grid_records(spark.read.parquet(str(tmp_path / "grid")))
+    assert sorted((r["spatial_key"], r["time_key"]) for r in found.collect()) == sorted([
+        ("37.50000,127.00000 (7)", "2024-01-05"), ("37.50000,127.00000", "2024-01-01"), ("7", "x")])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rec.telco_grid_records(spark.read.parquet(str(tmp_path / "grid"))).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    # the JVM never compiles a method beyond 8000 bytes
+    assert sizes and max(sizes) < 8000
