@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -193,3 +194,27 @@ def test_only_staged_tables_are_released(spark, tmp_path, monkeypatch):
     assert spark.read.parquet(kept).count() == 3
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(staged.inputFiles()[0]).count()
+
+
+def test_many_polygons_are_covered_by_many_tasks_and_few_finely(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "POLYGONS_AT_ONCE", 10)
+    squares = [(f"u{i}", [(float(i), 0.0), (i + 0.5, 0.0), (i + 0.5, 0.5), (float(i), 0.5)]) for i in range(40)]
+    frame = polygons(spark, *squares).coalesce(1)
+    assert len(spatial.cover(frame).inputFiles()) > 1
+    fine = spatial._fine(spatial.cover(polygons(spark, ("p", ARROW))))
+    # most of the inside needs no edges any more
+    size = F.pow(F.lit(4.0), -F.col("_level"))
+    assert 5 < fine.where(F.size("_edges") == 0).agg(F.sum(size)).first()[0] <= 10
+    points = spark.createDataFrame([(i, i / 4 + 0.25, 0.25) for i in range(160)], "k long, x double, y double")
+    got = spatial.points_in_polygons(points, frame, "k", "x", "y").collect()
+    assert sorted((r["k"], r["polygon_code"]) for r in got) == [(4 * i, f"u{i}") for i in range(40)]
+
+
+def test_a_task_compares_many_blocks_with_all_its_queries(spark):
+    rng = np.random.default_rng(6)
+    items = [(i, rng.normal(size=8), "one") for i in range(300)]
+    frame = spark.createDataFrame([(i, [float(x) for x in v], g) for i, v, g in items], "id long, vector array<double>, g string")
+    got = vectors.nearest_stored(frame, frame, ["g"], k=4, threshold=0.2, pivots=3, block_rows=2)
+    assert sorted((r["query_id"], r["match_id"]) for r in got.collect()) == brute_force(items, 4, 0.2)
+    calls = vectors._match(4, 0.2, block_rows=7)(None, *[pd.DataFrame({"id": [i for i, _, _ in items], "vector": [v for _, v, _ in items]})] * 2)
+    assert sorted(zip(calls["query_id"], calls["match_id"])) == brute_force(items, 4, 0.2)
