@@ -215,3 +215,12 @@ def test_known_places_win_and_the_last_row_of_a_batch_counts(spark, rows):
 def test_frames_with_other_columns_are_concatenated_by_name(spark, rows):
     a, b = spark.createDataFrame([(1, "x")], "n int, s string"), spark.createDataFrame([("y",)], "s string")
     assert rows(files.concat([a, b]), "n", "s") == [(1, "x"), (None, "y")]
+
+
+def test_drops_of_large_tables_are_written_by_several_tasks(spark, monkeypatch, tmp_path):
+    from areapulse.checks import ingest_checks
+
+    raw = spark.createDataFrame([(ym, "1") for ym in ("199301", "199401", "199601", "199801") for _ in range(4)], "CRTR_YM string, DAY_CNT string").repartition(4)
+    monkeypatch.setattr(ingest_checks, "raw_frame", lambda *_: raw.persist())
+    drops = ingest_checks.mixed_drops(spark, "")
+    assert max(len(spark.read.text(d).inputFiles()) for d in drops) > 1
