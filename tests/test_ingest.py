@@ -217,6 +217,25 @@ def test_frames_with_other_columns_are_concatenated_by_name(spark, rows):
     assert rows(files.concat([a, b]), "n", "s") == [(1, "x"), (None, "y")]
 
 
+def test_sums_of_both_fact_tables_are_stored_once(spark, rows, tmp_path):
+    names = ["STD_YM", "HCODE", "X_COORD", "Y_COORD", "M_0009", "W_0009"]
+    raw = spark.createDataFrame([("202401", "1", "127", "37", "1", "2"), ("202401", "1", "126", "38", "3", "x"), ("202402", "2", None, "37", "1", "1")],
+                                ", ".join(f"{n} string" for n in names))
+    made, stored = norm.city_cell_sex_age(raw), []
+
+    def store(sums):
+        sums.write.parquet(str(tmp_path / f"sums{len(stored)}"))
+        stored.append(spark.read.parquet(str(tmp_path / f"sums{len(stored)}")))
+        return stored[-1]
+
+    kept = made.stored(store)
+    assert len(stored) == 1
+    for table in ("activity", "demographics"):
+        assert set(getattr(kept, table).inputFiles()) == set(stored[0].inputFiles())
+        assert rows(getattr(kept, table)) == rows(getattr(made, table))
+    assert rows(made.spatial, "spatial_key", "lat", "lon") == [("1", 38.0, 126.0), ("2", None, None)]
+
+
 def test_drops_of_large_tables_are_written_by_several_tasks(spark, monkeypatch, tmp_path):
     from areapulse.checks import ingest_checks
 
