@@ -10,6 +10,7 @@ up in the plan. A length that holds a third of all pieces is ranked in blocks.
 
 from __future__ import annotations
 
+import zlib
 from bisect import bisect_right
 from collections import defaultdict
 from dataclasses import dataclass
@@ -24,6 +25,7 @@ from areapulse.session import stage
 
 CAPACITY = 1024
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
+DIGESTS = "doc_id long, piece int, start long, length long, ids_crc32 long"
 BLOCK_ROWS = 16_384
 
 
@@ -34,6 +36,16 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 2, vocabular
     empty texts have the end id alone. Every row counts, repeated rows too; a
     NULL ``doc_id`` stays NULL. Other columns are not read.
     """
+    return map_rows(docs, ["doc_id", "text"], PIECES, _cutter(capacity, end_id, vocabulary, bytes), weight=lambda row: len(row[4]))
+
+
+def digests(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 2, vocabulary: str = VOCABULARY) -> DataFrame:
+    """The same pieces with the checksum of their ids, ``ids_crc32``, so that the ids do not leave the tasks that make them."""
+    return map_rows(docs, ["doc_id", "text"], DIGESTS, _cutter(capacity, end_id, vocabulary, zlib.crc32))
+
+
+def _cutter(capacity: int, end_id: int, vocabulary: str, last):
+    """For ``map_rows``: the pieces of a text, with ``last`` of their ids."""
     end = np.asarray([end_id], dtype="<u4").tobytes()
 
     def cut(doc_id, text):
@@ -41,10 +53,10 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 2, vocabular
         total, start, number = len(ids) // 4, 0, 0
         stop = total if total <= capacity else total % capacity or capacity
         while start < total:
-            yield doc_id, number, start, stop - start, ids[4 * start : 4 * stop]
+            yield doc_id, number, start, stop - start, last(ids[4 * start : 4 * stop])
             start, stop, number = stop, stop + capacity, number + 1
 
-    return map_rows(docs, ["doc_id", "text"], PIECES, cut, weight=lambda row: len(row[4]))
+    return cut
 
 
 class CapacityTree:
@@ -188,8 +200,5 @@ def sequences(placed: DataFrame) -> DataFrame:
 
 def packed(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 2, vocabulary: str = VOCABULARY) -> DataFrame:
     """Every piece of ``docs`` with its digest and its place; ids are written out by ``sequences`` where wanted."""
-    sized = pieces(docs, capacity, end_id, vocabulary).select(
-        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")
-    )
-    stored = stage(docs.sparkSession, sized, "pieces")
+    stored = stage(docs.sparkSession, digests(docs, capacity, end_id, vocabulary), "pieces")
     return pack(stored, ["doc_id", "piece", "start", "ids_crc32"], capacity)

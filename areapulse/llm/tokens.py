@@ -11,6 +11,7 @@ whole.
 
 from __future__ import annotations
 
+import struct
 from functools import lru_cache
 
 import numpy as np
@@ -37,6 +38,9 @@ def _plain(word: str) -> bool:
     return word.isalpha() and (word.isascii() or max(word) < OLD_LETTERS)
 
 
+_SPACE = _byte_letters()[ord(" ")]
+
+
 class TextEncoder:
     def __init__(self, path: str, cached_words: int = CACHED_WORDS):
         from tokenizers import Tokenizer
@@ -53,7 +57,8 @@ class TextEncoder:
 
     def _piece(self, piece: str) -> bytes:
         """Ids of one piece in stand-in letters."""
-        return np.asarray([t.id for t in self.tokenizer.model.tokenize(piece)], dtype="<u4").tobytes()
+        ids = [t.id for t in self.tokenizer.model.tokenize(piece)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _part(self, text: str) -> bytes:
         """Ids of a text without special tokens, piece by piece."""
@@ -75,6 +80,9 @@ class TextEncoder:
 
     def _word(self, word: str) -> bytes:
         """Ids of a space and ``word``."""
+        if word.isascii() and word.isalpha():
+            # ASCII letters stand for themselves
+            return self._piece(_SPACE + word)
         if word[-1] in MARKS and _plain(word[:-1]):
             return self._cached(word[:-1], self._word) + self._cached(" " + word[-1], self._unspaced)
         start, line_break, rest = word.partition("\n")

@@ -198,3 +198,12 @@ def test_archive_query_equals_sql(spark):
 
     for name in ("op1_warc", "op3_top_k"):
         assert difference(queries.QUERIES[name](spark, FOLDER), queries.SQL[name], FOLDER) is None
+
+
+def test_checksums_of_pieces_are_made_where_the_ids_are(spark):
+    documents = odd_documents(spark)
+    columns = ["doc_id", "piece", "start", "length"]
+    ids = packing.pieces(documents, 8).collect()
+    digests = packing.digests(documents, 8).collect()
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted([(*(r[c] for c in columns), zlib.crc32(bytes(r.ids))) for r in ids], key=key) == sorted(map(tuple, digests), key=key)
