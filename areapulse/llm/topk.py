@@ -2,8 +2,8 @@
 
 Candidates are cut into blocks. A block has one list per vector component, sorted
 by value. For a query each list is read from the end that gives the larger
-products, all lists to the same depth, which grows until it suffices. What has
-been read of a candidate and what its unread components can give at least and at
+products, all lists to the same depth, which grows until it suffices; queries are
+taken together. What has been read of a candidate and what its unread components can give at least and at
 most bound its score; once no candidate outside a small set can reach the k-th
 best lower bound, the set's scores are resolved and ranked. The block of the
 longest vectors comes first: its k-th best score is where the bound of all other
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from areapulse.session import stage
@@ -25,60 +26,86 @@ CANDIDATE_BLOCK = 4096
 QUERY_BLOCK = 1024
 #: Components beyond this may not be summed in 64 bits; the scores of their vectors are exact Python integers.
 LARGEST = 1 << 20
-#: All lists of a block are read in so many steps at most; so few candidates are resolved without reading on.
+#: Lists are read to this part of a block first, then twice as far each time; so few candidates are resolved without reading on.
 STEPS = 16
 RESOLVED = 256
+#: Queries whose bounds are held at once.
+QUERIES_AT_ONCE = 256
 
 
 class SortedLists:
-    """The lists of one block: for each component the candidates in ascending order of its value."""
+    """The lists of one block: for each component the candidates in ascending order of its value.
+
+    All lists are read to the same depth for many queries at once. What was read of
+    a component is at least, or at most, the value the list showed last there, so
+    the values clipped at that one are what is known of all candidates, and two
+    matrix products, with the positive and the negative factors, bound their scores.
+    """
 
     def __init__(self, vectors: np.ndarray):
         self.vectors, (self.rows, self.size) = vectors, vectors.shape
-        order = np.argsort(vectors, axis=0, kind="stable").T
-        up = np.take_along_axis(vectors.T, order, axis=1)
-        # by direction, component, place
-        self.order = np.stack([order, order[:, ::-1]]).astype(np.int32)
-        self.values = np.stack([up, up[:, ::-1]])
-        self.usual_depth = 0
-        self.largest = np.abs(up[:, [0, -1]]).max(axis=1).astype(np.float64) if self.rows else np.zeros(self.size)
+        self.values = vectors.astype(np.float64)
+        #: By place, component.
+        self.up = np.sort(self.values, axis=0)
+        self.largest = np.abs(self.up[[0, -1]]).max(axis=0) if self.rows else np.zeros(self.size)
+
+    def upper(self, queries: np.ndarray, depth: int) -> np.ndarray:
+        """The most that every query's score with every candidate can be after reading to ``depth``: what is unread gives at most what its list showed last."""
+        factors = queries.astype(np.float64)
+        high = np.minimum(self.values, self.up[depth - 1]) @ np.minimum(factors, 0).T
+        return (high + np.maximum(self.values, self.up[self.rows - depth]) @ np.maximum(factors, 0).T).T
+
+    def lower(self, queries: np.ndarray, depth: int) -> np.ndarray:
+        """The least it can be: what is unread gives at least what the list ends with."""
+        factors = queries.astype(np.float64)
+        low = np.where(self.values <= self.up[depth - 1], self.values, self.up[-1]) @ np.minimum(factors, 0).T
+        return (low + np.where(self.values >= self.up[self.rows - depth], self.values, self.up[0]) @ np.maximum(factors, 0).T).T
+
+    def survivors_of(self, queries: np.ndarray, k: int, own: list[np.ndarray], floors: np.ndarray) -> list[np.ndarray]:
+        """Per query, the candidates that may be among the ``k`` best and reach its floor; its ``own`` ones are left out."""
+        found: list[np.ndarray] = [np.empty(0, np.int64)] * len(queries)
+        left, depth = [], -(-self.rows // STEPS)
+        for n, out in enumerate(own):
+            if self.rows - len(out) <= k or not self.size:
+                found[n] = np.setdiff1d(np.arange(self.rows), out)
+            else:
+                left.append(n)
+        # sums of doubles may be off by far less than this
+        rounding = 1e-12 * (np.abs(queries.astype(np.float64)) @ self.largest)
+        while left:
+            upper = self.upper(queries[left], depth)
+            bars = floors[left].copy()
+            if len(open_bars := np.flatnonzero(~np.isfinite(bars))):
+                lower = self.lower(queries[left][open_bars], depth)
+                for at, row in zip(open_bars.tolist(), lower, strict=True):
+                    row[own[left[at]]] = -np.inf
+                    bars[at] = np.partition(row, -k)[-k]
+            again = []
+            for n, row, bar in zip(left, upper, bars.tolist(), strict=True):
+                row[own[n]] = -np.inf
+                able = np.flatnonzero(row >= bar - rounding[n])
+                if len(able) <= max(RESOLVED, k) or depth == self.rows:
+                    found[n] = able
+                else:
+                    again.append(n)
+            # reading further costs the same here however far it is
+            left, depth = again, min(self.rows, 2 * depth)
+        return found
 
     def survivors(self, query: np.ndarray, k: int, own: np.ndarray, floor: float = -np.inf) -> np.ndarray:
-        """The candidates that may be among the ``k`` best and reach ``floor``; ``own`` ones are left out."""
-        direction = (query > 0).astype(np.int64)
-        parts = np.arange(self.size)
-        open_to = np.ones(self.rows, bool)
-        open_to[own] = False
-        if np.count_nonzero(open_to) <= k or not self.size:
-            return np.flatnonzero(open_to)
-        factors = query.astype(np.float64)
-        least = self.values[direction, parts, -1] * factors
-        # sums of doubles may be off by far less than this
-        rounding = 1e-12 * float(self.largest @ np.abs(factors))
-        step = -(-self.rows // STEPS)
-        depth = first = min(self.rows, max(step, self.usual_depth))
-        while True:
-            ids = self.order[direction, parts, :depth].ravel()
-            products = self.values[direction, parts, :depth] * factors[:, None]
-            # an unread component gives at most what its list showed last, and at least what the list ends with
-            most = products[:, -1]
-            upper = most.sum() + np.bincount(ids, (products - most[:, None]).ravel(), self.rows)
-            bar = floor
-            if not np.isfinite(floor):
-                lower = least.sum() + np.bincount(ids, (products - least[:, None]).ravel(), self.rows)
-                bar = np.partition(lower[open_to], -k)[-k]
-            able = np.flatnonzero(open_to & (upper >= bar - rounding))
-            if len(able) <= max(RESOLVED, k) or depth == self.rows:
-                # the next query starts where this one could stop, or a step before
-                self.usual_depth = depth - step if depth == first and len(able) < RESOLVED // 4 else depth
-                return able
-            depth = min(self.rows, depth + step)
-
-    def top(self, query: np.ndarray, k: int, ids: np.ndarray, own: int, floor: float = -np.inf) -> list[tuple[int, int]]:
-        found = self.survivors(query, k, np.flatnonzero(ids == own), floor)
-        scores = self.vectors[found] @ query
-        order = np.lexsort((ids[found], -scores))[:k]
-        return list(zip(ids[found][order].tolist(), scores[order].tolist(), strict=True))
+        return self.survivors_of(query[None, :], k, [own], np.array([floor]))[0]
+
+    def top(self, queries: np.ndarray, k: int, ids: np.ndarray, own: list[int], floors: np.ndarray) -> list[list[tuple[int, int]]]:
+        """Per query the ids and scores of the ``k`` best that reach its floor; its own id is left out."""
+        out = []
+        for first in range(0, len(queries), QUERIES_AT_ONCE):
+            part = slice(first, first + QUERIES_AT_ONCE)
+            skipped = [np.flatnonzero(ids == i) for i in own[part]]
+            for query, found in zip(queries[part], self.survivors_of(queries[part], k, skipped, floors[part]), strict=True):
+                scores = self.vectors[found] @ query
+                order = np.lexsort((ids[found], -scores))[:k]
+                out.append(list(zip(ids[found][order].tolist(), scores[order].tolist(), strict=True)))
+        return out
 
 
 def quantised(vectors: DataFrame, id_name: str = "vec_id", vector_name: str = "embedding", scale: int = SCALE) -> DataFrame:
@@ -138,13 +165,18 @@ def top_k(
     def meet(found: pa.Table, asked: pa.Table) -> pa.Table:
         rows = {"query_id": [], "vec_id": [], "score": []}
         if found.num_rows and asked.num_rows:
-            size = max(max(map(len, t.column("q").to_pylist())) for t in (found, asked))
+            size = max(int(pc.max(pc.list_value_length(t.column("q"))).as_py()) for t in (found, asked))
             vectors, queries = matrix(found, size), matrix(asked, size)
             ids, large = found.column("vec_id").to_numpy(), (abs(vectors) > LARGEST * SCALE).any(axis=1)
             lists = SortedLists(vectors[~large]) if not large.all() else None
-            for query_id, query, floor in zip(asked.column("vec_id").to_pylist(), queries, asked.column("floor").to_pylist(), strict=True):
-                exact = np.ones(len(ids), bool) if (abs(query) > LARGEST * SCALE).any() else large
-                best = lists.top(query, k, ids[~large], query_id, -np.inf if floor is None else floor) if lists and exact is large else []
+            asked_ids = asked.column("vec_id").to_pylist()
+            floors = np.array([-np.inf if f is None else f for f in asked.column("floor").to_pylist()])
+            too_large = (abs(queries) > LARGEST * SCALE).any(axis=1)
+            listed = np.flatnonzero(~too_large) if lists else np.empty(0, np.int64)
+            tops = lists.top(queries[listed], k, ids[~large], [asked_ids[n] for n in listed], floors[listed]) if lists else []
+            bests = dict(zip(listed.tolist(), tops, strict=True))
+            for n, (query_id, query) in enumerate(zip(asked_ids, queries, strict=True)):
+                best, exact = bests.get(n, []), np.ones(len(ids), bool) if too_large[n] else large
                 exact = np.flatnonzero(exact & (ids != query_id))
                 if len(exact):
                     scores = vectors[exact].astype(object) @ query.astype(object)
@@ -176,6 +208,6 @@ def top_k(
 
 def matrix(rows: pa.Table, size: int) -> np.ndarray:
     out = np.zeros((rows.num_rows, size), np.int64)
-    for i, vector in enumerate(rows.column("q").to_pylist()):
-        out[i, : len(vector)] = vector
+    lengths = pc.list_value_length(rows.column("q")).to_numpy()
+    out[np.arange(size) < lengths[:, None]] = pc.list_flatten(rows.column("q")).to_numpy()
     return out

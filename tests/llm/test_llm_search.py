@@ -70,6 +70,23 @@ def test_lists_stop_early_and_keep_the_best():
     assert 17 in found and len(found) <= topk.RESOLVED
 
 
+def test_lists_are_read_for_many_queries_at_once(monkeypatch):
+    rng = np.random.default_rng(1)
+    vectors = np.concatenate([rng.integers(-40, 40, (2000, 8)), rng.integers(-2, 3, (2000, 8))])
+    queries, ids, own = rng.integers(-300, 300, (90, 8)), rng.permutation(9000)[:4000], [5, *rng.integers(0, 9000, 89).tolist()]
+    lists, calls = topk.SortedLists(vectors), []
+    upper = topk.SortedLists.upper
+    monkeypatch.setattr(topk.SortedLists, "upper", lambda self, queries, depth: calls.append(len(queries)) or upper(self, queries, depth))
+    for floors in (np.full(90, -np.inf), np.full(90, 1000.0)):
+        calls.clear()
+        got = lists.top(queries, 5, ids, own, floors)
+        for query, mine, floor, found in zip(queries, own, floors, got, strict=True):
+            scores = sorted(((-s, i) for i, s in zip(ids.tolist(), (vectors @ query).tolist(), strict=True) if i != mine))[:5]
+            # what is below the floor may be left out
+            assert [x for x in found if x[1] >= floor] == [(i, -s) for s, i in scores if -s >= floor]
+        assert 0 < len(calls) <= 6 and calls[0] == 90
+
+
 def plain_fingerprint(text):
     words = (text or "").encode().lower().split()
     if not words:
