@@ -4,13 +4,14 @@ The library reaches about one megabyte a second, most of it spent on words it ha
 seen before. A text can be cut before any single space whose next character is
 not white space: the vocabulary's pre-tokenizer always starts a new piece there.
 Each cut part is encoded by the library's model once and kept in a dictionary of
-bounded size; a plain word with one mark after it is its word's ids and the
-mark's. Texts with runs of white space, or with a special token, are encoded
+bounded size; a plain word with marks after it is its word's ids and the
+marks'. Texts with runs of white space, or with a special token, are encoded
 whole.
 """
 
 from __future__ import annotations
 
+import re
 import struct
 from functools import lru_cache
 
@@ -21,9 +22,11 @@ from areapulse.llm.common import hold_one
 VOCABULARY = "byte_bpe_50k.json"
 CACHED_WORDS = 350_000
 LONGEST_CACHED = 64
-MARKS = frozenset(".,;:!?")
 #: Letters below this code point are letters to every version of Unicode.
 OLD_LETTERS = "ɐ"
+_LETTERS, _MARKS = "[A-Za-zÀ-ÖØ-öø-ɏ]+", r"[!-/:-@\[-`{-~]*"
+#: Letters and marks, and perhaps a second such word on the next line: pieces are letters, marks, and the line break.
+SHAPE = re.compile(rf"({_LETTERS})({_MARKS})(?:\n({_LETTERS})({_MARKS}))?")
 
 
 @lru_cache(maxsize=1)
@@ -63,7 +66,9 @@ class TextEncoder:
     def _part(self, text: str) -> bytes:
         """Ids of a text without special tokens, piece by piece."""
         if _plain(text.removeprefix(" ")):
-            return self._piece(text.encode().decode("latin-1").translate(_byte_letters()))
+            # ASCII letters stand for themselves
+            letters = text if text.isascii() else text.encode().decode("latin-1").translate(_byte_letters())
+            return self._piece(letters.replace(" ", _SPACE))
         return b"".join([self._piece(p) for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)])
 
     def _cached(self, key: str, make) -> bytes:
@@ -81,13 +86,15 @@ class TextEncoder:
     def _word(self, word: str) -> bytes:
         """Ids of a space and ``word``."""
         if word.isascii() and word.isalpha():
-            # ASCII letters stand for themselves
             return self._piece(_SPACE + word)
-        if word[-1] in MARKS and _plain(word[:-1]):
-            return self._cached(word[:-1], self._word) + self._cached(" " + word[-1], self._unspaced)
-        start, line_break, rest = word.partition("\n")
-        if line_break and start and start[-1] in MARKS and _plain(start[:-1]) and _plain(rest):
-            return self._cached(start, self._word) + self._cached(" \n", self._unspaced) + self._cached(" " + rest, self._unspaced)
+        if (shape := SHAPE.fullmatch(word)) and (shape[2] or shape[3]):
+            start, marks, rest, more = shape.groups()
+            ids = self._cached(start, self._word)
+            if marks:
+                ids += self._cached(" " + marks, self._unspaced)
+            if rest:
+                ids += self._cached(" \n", self._unspaced) + self._cached(" " + rest, self._unspaced)
+            return ids + self._cached(" " + more, self._unspaced) if more else ids
         return self._part(" " + word)
 
     def _unspaced(self, key: str) -> bytes:

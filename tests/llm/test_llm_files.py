@@ -55,6 +55,18 @@ def plain_best_fit(lengths, capacity):
     return sorted(bins)
 
 
+def test_words_of_one_shape_share_the_ids_of_their_parts(tokenizer, monkeypatch):
+    encoder, parts = tokens.TextEncoder(public_tokenizers.path("byte_bpe_50k.json")), []
+    part = encoder._part
+    monkeypatch.setattr(encoder, "_part", lambda text: parts.append(text) or part(text))
+    stems = ["wört", "plain", "Été", "ǅabc", "x"]
+    words = [s + m for s in stems for m in ("", ".", "***", "!?", "'", "'s", "“", ".\nplain", "***\nwört,", "\nx", "'\ns", "1.", "\n***", "%%\n")]
+    text = "start " + " ".join(words * 2)
+    assert encoder.encode(text) == np.asarray(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    # marks and line breaks are encoded once, however many words they follow
+    assert all(parts.count(p) == 1 for p in ("***", "!?", "'", "\n", ".")) and not {" wört***", " wört!?"} & set(parts)
+
+
 def test_grouped_best_fit_equals_piece_by_piece():
     rng = random.Random(1)
     for capacity in (1, 7, 30, 64):
