@@ -249,6 +249,27 @@ def test_all_training_documents_are_learnt_from(spark, documents):
     assert np.isfinite(model.vector()).all()
 
 
+def test_words_beyond_the_first_1500_have_outputs_of_their_own(spark, monkeypatch):
+    texts = [" ".join(f"w{(31 * i + j) % 2400}" for j in range(80)) for i in range(120)]
+    models = []
+    monkeypatch.setattr(recurrent, "learn_from", lambda coded, model, *_: models.append((model, coded.count())) or 0.0)
+    rows = recurrent.scored(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    model, learnt = models[0]
+    words = {w for r in rows if not r.held_out for w in recurrent.tokens_of(texts[r.doc_id])}
+    assert len(words) > 2000 and len(model.class_of) == len(words) + 1 and len(model.starts) >= 40
+    assert learnt == sum(not r.held_out for r in rows) and all(math.isfinite(r.score) for r in rows)
+
+
+def test_steps_of_few_texts_are_looked_up_together(monkeypatch):
+    model, rng, calls = small_model(), np.random.default_rng(5), []
+    texts = [rng.integers(0, 7, n) for n in (3000, 40)]
+    expected = [model.log10_of([t], window=1, lanes=4)[0] for t in texts]
+    outputs = recurrent.GatedModel.outputs
+    monkeypatch.setattr(recurrent.GatedModel, "outputs", lambda self, h, words, *more: calls.append(len(words)) or outputs(self, h, words, *more))
+    assert np.allclose(model.log10_of(texts), expected)
+    assert calls == [3040]
+
+
 def test_averages_of_many_tasks(spark):
     vectors = np.random.default_rng(1).normal(0, 1, (70, 5))
     rows = spark.createDataFrame([(v.tobytes(), float(i)) for i, v in enumerate(vectors)], "weights binary, seen double").repartition(70)
