@@ -67,6 +67,14 @@ def test_words_of_one_shape_share_the_ids_of_their_parts(tokenizer, monkeypatch)
     assert all(parts.count(p) == 1 for p in ("***", "!?", "'", "\n", ".")) and not {" wört***", " wört!?"} & set(parts)
 
 
+def test_words_with_marks_take_no_room_from_their_stems(tokenizer):
+    encoder = tokens.TextEncoder(public_tokenizers.path("byte_bpe_50k.json"), cached_words=20)
+    marks = [f"{a}{b}{c}" for a in ".,!" for b in "?;%" for c in ")]}"]
+    text = "start " + " ".join(s + m for m in ("", *marks) for s in ("wört", "plain", "Été"))
+    assert encoder.encode(text) == np.asarray(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert set(encoder.words) == {"wört", "plain", "Été"} and not encoder.old
+
+
 def test_grouped_best_fit_equals_piece_by_piece():
     rng = random.Random(1)
     for capacity in (1, 7, 30, 64):
